@@ -121,7 +121,7 @@ def decontaminate(
     documents: DataFrame,
     benchmark: DataFrame,
     *,
-    error_rate: float = 0.1,
+    error_rate: float = 0.08,
     id_col: str = "doc_id",
     text_col: str = "text",
     item_col: str = "item_id",
