@@ -79,6 +79,8 @@ class Matcher:
         """(item id, distance, end of the passage in the normalised text) of each item within its budget."""
         import ahocorasick
 
+        if not self.places:
+            return []
         if self.automaton is None:  # built once in each worker
             self.automaton = ahocorasick.Automaton()
             for piece, where in self.places.items():

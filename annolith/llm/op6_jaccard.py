@@ -297,7 +297,7 @@ def _frequent(scanned: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         if total > FREQUENT:
             break
         least = step
-    rows = counts.where(F.col("hits") >= 2**least).toPandas()
+    rows = counts.where(F.col("hits") >= F.lit(2.0) ** least).toPandas()
     discard(counts)
     order = np.argsort(rows.token.to_numpy(np.int64).view(np.uint64))
     return rows.token.to_numpy(np.int64).view(np.uint64)[order], rows.hits.to_numpy(np.int64)[order]
