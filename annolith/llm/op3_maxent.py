@@ -165,10 +165,11 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def fit_maxent(texts: DataFrame, *, rounds: int = 2, rate: float = 0.15) -> tuple[MaxentModel, DataFrame]:
+def fit_maxent(texts: DataFrame, *, rounds: int = 2, rate: float = 0.15, trainers: int = 16) -> tuple[MaxentModel, DataFrame]:
     """The model learnt from ``texts(id, text)``, and the table (word, n) of all words' counts.
 
-    Each round trains on the texts whose hashed id falls to it, so that every text is used once.
+    Each round trains on the texts whose hashed id falls to it, so that every text is used once. ``trainers`` tasks at most
+    each hand on one set of weights (6 MB) a round, so what is shuffled does not follow the number of input partitions.
     """
     spark = texts.sparkSession
     counts = texts.select("text").mapInArrow(_count, "word long, last int, n long").groupBy("word").agg(F.min("last").alias("last"), F.sum("n").alias("n"))
@@ -204,8 +205,7 @@ def fit_maxent(texts: DataFrame, *, rounds: int = 2, rate: float = 0.15) -> tupl
         shared = spark.sparkContext.broadcast(model)
         own = texts.where(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(rounds)) == turn).select("text")
         schema = "block int, branch int, sums binary, touched binary"
-        parts = own.mapInArrow(_train(shared, rate, 32), schema).repartition("block", "branch").mapInArrow(_add, schema)
-        parts = parts.withColumn("branch", F.lit(0)).repartition("block").mapInArrow(_add, schema)
+        parts = own.coalesce(trainers).mapInArrow(_train(shared, rate, 1), schema).repartition("block").mapInArrow(_add, schema)
         size = BUCKETS // BLOCKS
         weights = model.weights.copy()
         for row in parts.toLocalIterator():  # the weights of one model
