@@ -43,6 +43,11 @@ def latest(df: DataFrame, key: str, order: str) -> DataFrame:
     return df.groupBy(key).agg(F.max_by(F.struct(*rest), order).alias("_s")).select(key, "_s.*")
 
 
+def rounded(c: Column) -> Column:
+    """To four places, in binary floating point throughout (F.round rounds the decimal form)."""
+    return F.round(c * 10_000, 0) / 10_000
+
+
 def user_of(worker: Column) -> Column:
     """A worker id without its last ``_part``."""
     return F.regexp_replace(worker, r"_[^_]*\z", "")
@@ -55,8 +60,8 @@ def trailing_rates(totals: DataFrame, minutes: tuple[int, ...] = (1, 5, 15, 60))
     """
     whole = Window.orderBy("minute")
     elapsed = F.col("minute") - F.min("minute").over(whole) + 1
-    rates = {f"rate_{m}": F.round(F.sum("n").over(whole.rangeBetween(-(m - 1), 0)) / F.least(F.lit(m), elapsed), 4) for m in minutes}
-    overall = F.round(F.sum("n").over(whole.rowsBetween(Window.unboundedPreceding, 0)) / elapsed, 4)
+    rates = {f"rate_{m}": rounded(F.sum("n").over(whole.rangeBetween(-(m - 1), 0)) / F.least(F.lit(m), elapsed)) for m in minutes}
+    overall = rounded(F.sum("n").over(whole.rowsBetween(Window.unboundedPreceding, 0)) / elapsed)
     return totals.select("minute", "n", *[c.alias(k) for k, c in rates.items()], overall.alias("overall"))
 
 
@@ -65,8 +70,8 @@ def interval_rates(totals: DataFrame, expected: float) -> DataFrame:
     order = Window.orderBy("minute")
     total = F.sum("n").over(order)
     rows = totals.select("minute", total.alias("total"), (F.col("minute") - F.lag("minute").over(order)).alias("gap"), F.col("n"), F.min("minute").over(order).alias("since"))
-    rows = rows.select("minute", "total", F.round(F.col("n") / F.col("gap"), 4).alias("current"), F.round(F.col("total") / (F.col("minute") - F.col("since") + 1), 4).alias("average"))
-    share = F.round(F.col("current") / expected * 100, 4)
+    rows = rows.select("minute", "total", rounded(F.col("n") / F.col("gap")).alias("current"), rounded(F.col("total") / (F.col("minute") - F.col("since") + 1)).alias("average"))
+    share = rounded(F.col("current") / expected * 100)
     return rows.withColumn("efficiency", share).withColumn("band", F.when(share >= 80, "good").when(share >= 50, "fair").when(share.isNotNull(), "poor"))
 
 
