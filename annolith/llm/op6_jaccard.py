@@ -5,7 +5,8 @@ frequent tokens come last in the token order, so passages that many texts share
 set size and cut in blocks, of which those too far in size or position for the bound are skipped as a whole. Answers
 are derived from those of similar sets: each list first asks only its lead node against the others. Whoever is linked to the
 same component needs no further test, and a measured distance to the lead bounds the distances among the rest (Jaccard
-distance is a metric). What remains goes on with new leads, and in the end pair by pair.
+distance is a metric). What remains goes on with new leads, first the most central node of each list and then any other,
+and in the end pair by pair.
 """
 
 from __future__ import annotations
@@ -319,7 +320,8 @@ def _rest(open_: DataFrame, answers: list[DataFrame], percent: int, turn: int |
     known = open_.join(distance, ["lead", "node"], "left").withColumn("far", F.when(F.col("lead") == F.col("node"), 0.0).otherwise(F.col("far")))
     x = known.select("token", "label", "lead", "node", "size", "place", "far")
     if turn is not None:
-        key = F.xxhash64("node", F.lit(turn))
+        # First the most central set: what is its own comes first in the token order, so it meets the list earliest.
+        key = F.struct(F.lit(0.0) if turn else F.col("place") / F.col("size"), F.xxhash64("node", F.lit(turn)))
         first = x.groupBy("token").agg(F.min(F.struct(key.alias("k"), "label", "lead", "node", "size", "place", "far")).alias("f"))
         left = first.select("token", *[F.col(f"f.{c}").alias(f"{c}_l") for c in ("label", "lead", "node", "size", "place", "far")])
     else:
