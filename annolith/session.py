@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -55,3 +56,9 @@ def discard(*frames: DataFrame) -> None:
         spark = df.sparkSession
         path = spark._jvm.org.apache.hadoop.fs.Path(df.kept_path)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished steps: Spark deletes them once no plan on the driver refers to them."""
+    gc.collect()
+    spark._jvm.System.gc()
