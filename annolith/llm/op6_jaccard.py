@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from annolith.llm.components import components
 from annolith.llm.textkit import mix, pieces, shingle_sets
-from annolith.session import discard, kept
+from annolith.session import discard, kept, sweep
 
 #: Frequent tokens that are ordered by frequency; a bound on what is broadcast (16 bytes each), without effect on results.
 FREQUENT = 1 << 18
@@ -214,6 +214,8 @@ def _answers(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, p
     joined = joined.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a").select("a", "b", "x", "y")
     out = kept(joined.mapInArrow(_verify(width, percent), "a long, b long, far double, linked boolean"), "answers")
     discard(sets)
+    del sets, joined
+    sweep(out.sparkSession)
     return out
 
 
@@ -258,6 +260,7 @@ def jaccard_join(
     entries = texts.where("id is not null").mapInArrow(_prefixes(width, percent, frequent), "token long, part int, node long, size int, place int")
     lists = entries.repartition("token", "part").sortWithinPartitions("token", "part")
     walked = kept(lists.mapInArrow(_lists(percent, block), "kind int, a long, b long, token long, size int, place int"), "lists")
+    sweep(spark)
     questions = walked.where("kind = 0").select("a", "b").distinct()
     answers = [_answers(questions, nodes, texts, width, percent)]
     entries = walked.where("kind = 1").select("token", F.col("a").alias("lead"), F.col("b").alias("node"), "size", "place")
