@@ -165,13 +165,15 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def fit_maxent(texts: DataFrame, *, rounds: int = 2, rate: float = 0.15, trainers: int = 16) -> tuple[MaxentModel, DataFrame]:
+def fit_maxent(texts: DataFrame, *, rounds: int = 2, rate: float = 0.15, trainers: int | None = None) -> tuple[MaxentModel, DataFrame]:
     """The model learnt from ``texts(id, text)``, and the table (word, n) of all words' counts.
 
     Each round trains on the texts whose hashed id falls to it, so that every text is used once. ``trainers`` tasks at most
-    each hand on one set of weights (6 MB) a round, so what is shuffled does not follow the number of input partitions.
+    each hand on one set of weights (6 MB) a round, so what is shuffled does not follow the number of input partitions;
+    None: as many as the cluster has cores, 16 at least.
     """
     spark = texts.sparkSession
+    trainers = trainers or max(16, spark.sparkContext.defaultParallelism)
     counts = texts.select("text").mapInArrow(_count, "word long, last int, n long").groupBy("word").agg(F.min("last").alias("last"), F.sum("n").alias("n"))
     counts = kept(counts, "counts")
     vocabulary, total = counts.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
