@@ -26,6 +26,8 @@ from annolith.session import discard, kept, sweep
 FREQUENT = 1 << 18
 #: Entries of a frequent token's list that go to one part; later rounds join the parts of a list.
 PART = 20_000
+#: Bytes of text taken apart at once where batches need not be merged.
+PIECE = 4 << 20
 ENTRY = ("token", "part", "node", "size", "place")
 SALT_A, SALT_B = np.uint64(0x1B873593CC9E2D51), np.uint64(0x5851F42D4C957F2D)
 
@@ -80,7 +82,7 @@ def _prefixes(width: int, percent: int, frequent):
         known, order = frequent.value
         parts_of = 1 + order // PART
         seen: set[int] = set()
-        for batch in pieces(batches):
+        for batch in pieces(batches, most=PIECE):
             parts = []
             sets = shingle_sets(batch.column("text"), width)
             for node, tokens in zip(signatures(sets)[0].tolist(), sets):
@@ -221,7 +223,7 @@ def _answers(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, p
 
 def _sets(width: int):
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        for batch in pieces(batches, most=PIECE):
             sets = shingle_sets(batch.column("text"), width)
             # Where rows repeat an id, only the text that the node stands for counts.
             own = [(n, s.tobytes()) for n, m, s in zip(batch.column("node").to_pylist(), signatures(sets)[0].tolist(), sets) if n == m]
