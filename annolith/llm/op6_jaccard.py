@@ -76,7 +76,10 @@ def _scan(width: int):
 
 
 def _prefixes(width: int, percent: int, frequent):
-    """Prefix entries (token, part, node, size, place) of the distinct sets of each task; lists of frequent tokens have parts."""
+    """Prefix entries (token, part, node, size, place) of the distinct sets of each task.
+
+    A list of one part has part 0, a split one parts from 1 on: whoever sees a part only knows that more entries are elsewhere.
+    """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, order = frequent.value
@@ -93,7 +96,8 @@ def _prefixes(width: int, percent: int, frequent):
                     at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
                     rank = np.where(known[at] == tokens, order[at], 0)
                     line = np.argsort(rank, kind="stable")[: prefix_length(len(tokens), percent)]
-                    part = np.where(rank[line] > 0, node % parts_of[at[line]], 0)
+                    own = parts_of[at[line]]
+                    part = np.where((rank[line] > 0) & (own > 1), 1 + node % own, 0)
                 else:
                     line = slice(prefix_length(len(tokens), percent))
                     part = np.zeros(line.stop, np.int64)

@@ -188,6 +188,19 @@ def test_jaccard_against_brute_force(spark):
     assert op6.jaccard_join(docs(spark, [])).count() == 0
 
 
+def test_jaccard_links_within_split_lists(spark, monkeypatch):
+    monkeypatch.setattr(op6, "PART", 60)
+    texts, want = [], {}
+    for p in range(6):
+        passage = " ".join(f"p{p}_{k}" for k in range(60))
+        for k in range(60):  # two texts that are little but the passage, and many that hold it among much else
+            i = 100 * p + k
+            texts.append((i, passage + "".join(f" u{i}_{j}" for j in range(3 if k < 2 else 200))))
+            want[i] = 100 * p if k < 2 else i
+    got = op6.jaccard_join(docs(spark, texts)).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
+
+
 def test_url_rules(spark):
     urls = ["https://A.Example.ORG/es/1?x", "http://example.org/en/12", "ftp://org", "x://b.com/de/", None, "no scheme", "http://notorg/", "a://com/fr/#z", "://org/x", "http://org:80/"]
     got = op7.url_filter(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).orderBy("page_id").collect()
