@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 
 from annolith.session import kept
 
-#: Children of a node; levels above the leaves; so records of an archive that one tree holds: FANOUT ** LEVELS.
-FANOUT, LEVELS = 16, 3
-ARCHIVE = FANOUT**LEVELS
+#: Children of a node; ids of an archive. Archives with repeated ids hold more records, and trees have levels for them.
+FANOUT, ARCHIVE = 16, 4096
 
 
 def warc_record(page_id: Column, url: Column, body: Column) -> Column:
@@ -48,9 +47,23 @@ def leaves(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", b
     return rows.withColumn("leaf", F.sha2(F.concat_ws(":", "start", "length", "digest"), 256))
 
 
+def parent(node: Column) -> Column:
+    """The node above, of FANOUT children at most."""
+    return F.floor(node / FANOUT).cast("long")
+
+
+def depth(*replicas: DataFrame) -> int:
+    """Levels above the leaves, so that the largest archive of all replicas has one root."""
+    last = max(r.agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0] for r in replicas)
+    levels = 0
+    while FANOUT**levels <= last:
+        levels += 1
+    return levels
+
+
 def parents(nodes: DataFrame) -> DataFrame:
-    """``archive, node, hash`` one level up; a node has FANOUT children at most (the last of an archive with repeats may have more)."""
-    up = nodes.groupBy("archive", F.least(F.floor(F.col("node") / FANOUT), F.lit(ARCHIVE)).cast("long").alias("parent"))
+    """``archive, node, hash`` one level up."""
+    up = nodes.groupBy("archive", parent(F.col("node")).alias("parent"))
     children = F.array_sort(F.collect_list(F.struct("node", "hash")))
     return up.agg(F.sha2(F.array_join(F.transform(children, lambda c: c["hash"]), ""), 256).alias("hash")).withColumnRenamed("parent", "node")
 
@@ -61,19 +74,20 @@ def audit(left: DataFrame, right: DataFrame) -> DataFrame:
     ``status``: ``corrupt`` (other digest or place), ``missing`` (only left) or ``extra`` (only right). Equal replicas and
     empty tables give no rows. Each replica's leaf table is written once; the levels above are read from it.
     """
+    sides = [kept(side, "leaves") for side in (left, right)]
+    above = depth(*sides)
     trees = []
-    for side in (left, right):
-        levels = [kept(side, "leaves")]
-        levels.append(levels[0].select("archive", F.col("seq").alias("node"), F.col("leaf").alias("hash")))
-        for _ in range(LEVELS + 1):
+    for side in sides:
+        levels = [side, side.select("archive", F.col("seq").alias("node"), F.col("leaf").alias("hash"))]
+        for _ in range(above):
             levels.append(kept(parents(levels[-1]), "level"))
         trees.append(levels)
     # The top level has one node for each archive; only children of nodes that differ are compared.
     differ = None
     for a, b in zip(trees[0][:0:-1], trees[1][:0:-1]):
         if differ is not None:
-            up = F.floor(F.col("node") / FANOUT).cast("long")
-            a, b = (x.join(differ.withColumnRenamed("node", "up"), (x.archive == differ.archive) & (up == F.col("up")), "left_semi") for x in (a, b))
+            up = differ.withColumnRenamed("node", "up")
+            a, b = (x.join(up, (x.archive == up.archive) & (parent(x.node) == up.up), "left_semi") for x in (a, b))
         both = a.join(b.withColumnRenamed("hash", "other"), ["archive", "node"], "full")
         differ = both.where(~F.col("hash").eqNullSafe(F.col("other"))).select("archive", "node")
     bad = differ.withColumnRenamed("node", "seq")

@@ -219,6 +219,14 @@ def test_fixity_locates_each_difference(spark):
     assert op8.audit(op8.leaves(pages), op8.leaves(pages)).count() == 0 == op8.audit(op8.leaves(pages.limit(0)), op8.leaves(pages.limit(0))).count()
 
 
+def test_fixity_of_an_archive_of_many_records(spark):
+    rows = spark.range(70_000).select(F.lit(5).cast("long").alias("page_id"), F.lit("http://x").alias("url"), F.col("id").cast("string").alias("html"), F.col("id").alias("seq"))
+    sides = [op8.leaves(rows.drop("seq")).withColumn("leaf", F.when(F.col("seq").isin(hit), "other").otherwise(F.col("leaf"))) for hit in ([], [65_535, 65_552, 69_999])]
+    got = op8.audit(sides[0], sides[1].where("seq < 69999")).collect()
+    assert sorted((r.seq, r.status) for r in got) == [(65_535, "corrupt"), (65_552, "corrupt"), (69_999, "missing")]
+    assert op8.depth(*sides) == 5
+
+
 def test_preferences_round_trip(spark):
     turn = "array<struct<role:string,text:string>>"
     rows = [(1, [("user", "q"), ("assistant", "good")], [("user", "q"), ("assistant", "bad!")]), (2, None, [("user", None)]), (3, [("user", "q")], [("user", "q")]), (4, [], [])]
