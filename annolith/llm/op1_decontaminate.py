@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from annolith.llm.textkit import pieces
+from annolith.session import discard, kept
 
 _BREAKS = re.compile(r"[\W_]+")
 
@@ -119,6 +120,19 @@ def _merge(starts: list[int], near: int) -> Iterator[tuple[int, int]]:
     yield a, b
 
 
+def _blocks(benchmark: DataFrame, item_col: str, item_text_col: str, block_chars: int) -> Iterator[list[tuple[int, str]]]:
+    """Items in blocks of ``block_chars`` characters, one block at least."""
+    held, n, blocks = [], 0, 0
+    for row in benchmark.select(benchmark[item_col].alias("i"), benchmark[item_text_col].alias("t")).toLocalIterator():
+        held.append((row.i, row.t))
+        n += len(row.t or "")
+        if n >= block_chars:
+            yield held
+            held, n, blocks = [], 0, blocks + 1
+    if held or not blocks:
+        yield held
+
+
 def decontaminate(
     documents: DataFrame,
     benchmark: DataFrame,
@@ -158,15 +172,7 @@ def decontaminate(
     from pyspark.sql.pandas.types import to_arrow_type
 
     item_type = to_arrow_type(benchmark.schema[item_col].dataType)
-    held, n, out = [], 0, []
-    for row in benchmark.select(benchmark[item_col].alias("i"), benchmark[item_text_col].alias("t")).toLocalIterator():
-        held.append((row.i, row.t))
-        n += len(row.t or "")
-        if n >= block_chars:
-            out.append(one_pass(held))
-            held, n = [], 0
-    if held or not out:
-        out.append(one_pass(held))
+    out = [one_pass(items) for items in _blocks(benchmark, item_col, item_text_col, block_chars)]
     result = out[0]
     for more in out[1:]:
         result = result.union(more)
@@ -177,10 +183,36 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def without_items(documents: DataFrame, benchmark: DataFrame, *, error_rate: float = 0.08, block_chars: int = 4_000_000) -> DataFrame:
+    """The rows that hold no benchmark item, unchanged, each judged by its own text: ids may be null or repeat.
+
+    One pass over the rows left for each block of items; between blocks they are written to the shared folder, so that a
+    task holds one automaton.
+    """
+
+    def one_pass(rows: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
+        shared = rows.sparkSession.sparkContext.broadcast(Matcher(items, error_rate))
+
+        def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            matcher = shared.value
+            for batch in pieces(batches):
+                yield batch.filter(pa.array([not matcher.matches(normal(t)) for t in batch.column("text").to_pylist()], pa.bool_()))
+
+        return rows.mapInArrow(clean, rows.schema)
+
+    out, written = None, []
+    for items in _blocks(benchmark, "item_id", "text", block_chars):
+        if out is not None:
+            documents = kept(out, "clean")
+            discard(*written)
+            written = [documents]
+        out = one_pass(documents, items)
+    return out
+
+
 def stage_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item, unchanged."""
-    found = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+    """Documents that hold no benchmark item, unchanged; rows without an id or with a repeated one are judged each."""
+    return without_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 QUERIES = {"op1_decontamination": op1_decontamination}

@@ -350,9 +350,17 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component the document with the smallest id, unchanged."""
-    first = jaccard_join(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").select(docs.columns)
+    """Of each component one row, unchanged: that with the smallest id, null ids last.
+
+    Rows are told apart by a key of their own, so rows without an id are documents like all others, and of rows that repeat
+    an id those of the same component are one. Rows without words are no one's duplicate and stay, each.
+    """
+    # Written once: a key made anew by each reader need not be the same.
+    keyed = kept(docs.withColumn("row_key", F.monotonically_increasing_id()), "keyed")
+    joined = jaccard_join(keyed.select("row_key", "text"), id_col="row_key").select("row_key", "component_id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
+    first = joined.join(keyed.select("row_key", "doc_id"), "row_key").groupBy("component_id").agg(F.min(order)["row_key"].alias("row_key"))
+    return keyed.join(first, "row_key", "left_semi").select(docs.columns)
 
 
 QUERIES = {"op6_jaccard_join": op6_jaccard_join}

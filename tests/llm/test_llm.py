@@ -263,3 +263,18 @@ def test_pipeline_stages(spark):
     kept = pipeline.STAGES[1][1](spark, docs_, SF)
     joined = op6.jaccard_join(docs_).toPandas()
     assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == sorted(joined.component_id.unique()) and kept.columns == docs_.columns
+
+
+def test_pipeline_stages_judge_rows_not_ids(spark, tmp_path):
+    item = "The quick brown fox jumps over the lazy dog while seven wizards watch from the old stone bridge."
+    spark.createDataFrame([(7, item), (8, "another item of the benchmark that stands in a block of its own, as blocks may be small")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    one, two = (" ".join(f"{c}{k}" for k in range(40)) for c in "ab")
+    d = docs(spark, [(None, one), (None, one), (None, two), (1, two), (2, "alone in the world of texts"), (2, "quite another text under that same id"), (3, two), (3, two), (None, None)])
+    left = op6.stage_near_duplicates(spark, d, str(tmp_path))
+    rows = lambda f: sorted((r.doc_id or 0, r.text or "") for r in f.collect())
+    assert rows(left) == [(0, ""), (0, one), (1, two), (2, "alone in the world of texts"), (2, "quite another text under that same id")]
+    assert left.columns == d.columns
+    mixed = docs(spark, [(None, "x " + item), (None, one), (4, item + " y"), (4, two), (5, None)])
+    clean = op1.stage_decontamination(spark, mixed, str(tmp_path))
+    assert rows(clean) == [(0, one), (4, two), (5, "")] and clean.columns == mixed.columns
+    assert rows(op1.without_items(mixed, spark.read.parquet(f"{tmp_path}/benchmark.parquet"), block_chars=1)) == rows(clean)
