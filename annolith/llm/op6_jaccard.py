@@ -271,21 +271,21 @@ def jaccard_join(
     answers = [_answers(questions, nodes, texts, width, percent)]
     entries = walked.where("kind = 1").select("token", F.col("a").alias("lead"), F.col("b").alias("node"), "size", "place")
     linked = answers[0].where("linked").select("a", "b")
-    for turn in range(lead_rounds + 1):
-        labels = components(linked)
+    labels = components(linked)
+    for turn in [*range(lead_rounds), None]:
         if entries.isEmpty():
             break
         open_ = _open(entries, labels)
-        rest = _rest(open_, answers, percent, turn if turn < lead_rounds else None)
-        rest = kept(rest, "rest")
+        rest = kept(_rest(open_, answers, percent, turn), "rest")
         if rest.isEmpty():
+            # New leads may bring nothing untold though lists are open: only the round of all pairs settles these.
             discard(rest)
-            break
+            if open_.isEmpty():
+                break
+            continue
         answers.append(_answers(rest, nodes, texts, width, percent))
         discard(rest)
         linked = linked.union(answers[-1].where("linked").select("a", "b"))
-        labels = None
-    if labels is None:
         labels = components(linked)
     by_node = nodes.join(labels.select(F.col("v").alias("node"), "label"), "node", "left")
     by_node = by_node.select("node", "b", "id", "copies", F.coalesce("label", "node").alias("label"))

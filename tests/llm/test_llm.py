@@ -201,6 +201,15 @@ def test_jaccard_links_within_split_lists(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in got} == want
 
 
+def test_jaccard_goes_on_after_a_round_without_questions(spark):
+    # Words for which the third set has the smallest hash and is the most central in each list that the others share: both
+    # rounds of the first lead are about it alone, and the link of the others is left to the later ones.
+    shared = " ".join(f"s4188_{k}" for k in range(30))
+    texts = [(1, shared + " a"), (2, shared + " b"), (3, shared + "".join(f" l{k}" for k in range(12)))]
+    got = op6.jaccard_join(docs(spark, texts)).collect()
+    assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 1, 3: 3}
+
+
 def test_url_rules(spark):
     urls = ["https://A.Example.ORG/es/1?x", "http://example.org/en/12", "ftp://org", "x://b.com/de/", None, "no scheme", "http://notorg/", "a://com/fr/#z", "://org/x", "http://org:80/"]
     got = op7.url_filter(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).orderBy("page_id").collect()
