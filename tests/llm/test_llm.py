@@ -1,6 +1,9 @@
 """Operators of the subpackage against brute force, round trips and hard cases."""
 
+import math
+import re
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -90,20 +93,61 @@ def test_nearest_neighbours(spark):
     assert op2.search(df.limit(0)).count() == 0 and op2.search(df.where("vec_id < 3")).count() == 2
 
 
-def test_maxent_base_and_held_out(spark):
+def test_maxent_base_against_brute_force_and_held_out(spark):
     table = spark.read.parquet(f"{SF}/documents.parquet")
-    got = op3.score_maxent(table.unionByName(docs(spark, [(9_000 + i, t) for i, (_, t) in enumerate(HARD)]).select(table.columns))).toPandas()
-    assert len(got) == table.count() + len(HARD) and (got.n_tokens >= 1).all() and np.isfinite(got.score).all()
-    held = got[got.held_out & (got.doc_id < 9_000)]
-    assert held.score.sum() > held.base_score.sum()
+    every = table.unionByName(docs(spark, [(9_000 + i, t) for i, (_, t) in enumerate(HARD)]).select(table.columns))
+    got = {r.doc_id: r for r in op3.score_maxent(every).collect()}
+    texts = {r.doc_id: r.text for r in every.collect()}
+    tokens = {i: [*re.findall("[^\x20\x09-\x0d]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")), None] for i, t in texts.items()}
+    held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i in texts}
+    counts = Counter(w for i, own in tokens.items() if not held[i] for w in own)
+    total, v = sum(counts.values()), len(counts)
+    assert set(got) == set(texts)
+    for i, own in tokens.items():
+        base = sum(math.log10((counts[w] + 0.5) / (total + 0.5 * (v + 1))) for w in own)
+        assert (got[i].held_out, got[i].n_tokens, got[i].n_known, got[i].train_tokens) == (held[i], len(own), sum(counts[w] > 0 for w in own), total)
+        assert math.isclose(got[i].base_score, base, rel_tol=1e-9) and math.isfinite(got[i].score)
+    held = [r for r in got.values() if r.held_out and r.doc_id < 9_000]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
     assert op3.score_maxent(docs(spark, [])).count() == 0
     (one,) = op3.score_maxent(docs(spark, [(0, "b a a"), (1, None)])).where("doc_id = 0").collect()
     assert one.n_tokens == 4
+    unseen = op3.score_maxent(docs(spark, [(1, "no text is learnt from")])).collect()  # crc32("1") mod 5 is 3
+    assert len(unseen) == 1
+
+
+def test_maxent_sums_to_one_over_the_vocabulary(spark):
+    rows = spark.createDataFrame([(i, " ".join(f"w{(i * k) % 37}" for k in range(1, 60))) for i in range(60)], "row long, text string")
+    model, _ = op3.start_model(rows)
+    words = op3.Tokens(pa.array([r.text for r in rows.orderBy("row").collect()]))
+    items, _ = model.places(words)
+    seen = tuple(np.ones(len(w), np.float32) for w in model.weights)
+    flat = model.walk(items, op3.context(items, words.first))
+    for _ in range(3):
+        model.walk(items, op3.context(items, words.first), seen, 0.3)
+    assert model.walk(items, op3.context(items, words.first)).sum() > flat.sum()
+    places = np.arange(len(model.length), dtype=np.int32)
+    for history in (5, 60, 200):
+        line = [np.repeat(f[history : history + 1], len(places)) for f in op3.context(items, words.first)]
+        assert math.isclose((10 ** (model.walk(places, line) + model.rest)).sum(), 1, abs_tol=1e-4)
+
+
+def test_maxent_trains_in_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(op3, "TRAINER", 2_000)
+    table = spark.read.parquet(f"{SF}/documents.parquet").repartition(4)
+    held = op3.score_maxent(table).where("held_out").toPandas()
+    assert held.score.sum() > held.base_score.sum()
 
 
-def test_class_softmax_sums_to_one():
-    w = np.random.default_rng(0).normal(size=(50, 7)).astype(np.float32)
-    assert np.allclose(op3.softmax_in(w, np.zeros(7, np.float32), np.array([[1, 2], [3, 4]])).sum(1), 1, atol=1e-5)
+def test_places_are_those_of_a_search():
+    rng = np.random.default_rng(8)
+    known = np.unique(rng.integers(0, 1 << 63, 5000, dtype=np.uint64) * np.uint64(2))
+    model = op3.MaxentModel(0, 0, known, *[None] * 8)
+    tokens = op3.Tokens(pa.array([""]))
+    tokens.hash = np.concatenate([known[::3], known[::3] + np.uint64(1), np.array([0, (1 << 64) - 1], np.uint64)])
+    tokens.ending = np.zeros(len(tokens.hash), np.int32)
+    at, own = model.places(tokens)
+    assert own.tolist() == np.isin(tokens.hash, known).tolist() and (known[at[own]] == tokens.hash[own]).all()
 
 
 def test_word_encoder_gives_the_tokenizer_s_ids():
