@@ -11,13 +11,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annolith.llm.textkit import NO_LETTER, Words, fold, pieces
+from annolith.session import discard, kept
 
 BUCKETS = 1 << 20
 #: Lengths in bytes of the word beginnings that count as features beside whole words (0).
 BEGINNINGS = (0, 5, 6, 7)
 FOLDS, HELD_OUT = 5, 0
 #: Bytes of text taken apart at once; a task holds about 25 times as much.
-PIECE = 4 << 20
+PIECE = 2 << 20
 
 
 def held_out(doc_id: Column) -> Column:
@@ -31,9 +32,22 @@ def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     owner, size = words.owner(), words.end - words.start
     found = []
     for most in BEGINNINGS:
-        kept = slice(None) if not most else size >= most
-        h = words.hashes(most or None)[kept] + np.uint64(most)
-        found.append(owner[kept] * BUCKETS + (h % np.uint64(BUCKETS)).astype(np.int64))
+        own = slice(None) if not most else size >= most
+        h = words.hashes(most or None)[own] + np.uint64(most)
+        found.append(owner[own] * BUCKETS + (h % np.uint64(BUCKETS)).astype(np.int64))
+    keys = np.unique(np.concatenate(found))
+    return keys // BUCKETS, keys % BUCKETS
+
+
+def chosen_features(column: pa.Array, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text, number) of the features with a ``place`` (the number of each bucket, -1: none), sorted, without repeats."""
+    words = Words(column, NO_LETTER)
+    owner, size = words.owner(), words.end - words.start
+    found = []
+    for most in BEGINNINGS:
+        at = place.take(((words.hashes(most or None) + np.uint64(most)) % np.uint64(BUCKETS)).astype(np.int64))
+        own = np.flatnonzero((at >= 0) & (size >= most))
+        found.append(owner[own] * BUCKETS + at[own])
     keys = np.unique(np.concatenate(found))
     return keys // BUCKETS, keys % BUCKETS
 
@@ -45,63 +59,61 @@ class ToxicityModel:
     bias: float
     weights: np.ndarray
 
+    def __post_init__(self):
+        hit = np.flatnonzero(self.weights)
+        self.place = np.full(BUCKETS, -1, np.int32)
+        self.place[hit] = np.arange(len(hit))
+        self.own = self.weights[hit]
+
     def log_odds(self, column: pa.Array) -> np.ndarray:
-        words = Words(column, NO_LETTER)
-        owner, size = words.owner(), words.end - words.start
-        found = []
-        for most in BEGINNINGS:
-            bucket = ((words.hashes(most or None) + np.uint64(most)) % np.uint64(BUCKETS)).astype(np.int64)
-            kept = np.flatnonzero((self.weights[bucket] != 0) & (size >= most))
-            found.append(owner[kept] * BUCKETS + bucket[kept])
-        keys = np.unique(np.concatenate(found))
-        return self.bias + np.bincount(keys // BUCKETS, self.weights[keys % BUCKETS], len(column))
+        text, number = chosen_features(column, self.place)
+        return self.bias + np.bincount(text, self.own[number], len(column))
 
 
 def nnpu(
-    p: tuple[np.ndarray, np.ndarray],
+    p: tuple[np.ndarray, np.ndarray, np.ndarray],
     u: tuple[np.ndarray, np.ndarray],
     prior: float,
-    width: int,
+    theta: np.ndarray,
     *,
-    steps: int = 300,
-    rate: float = 0.05,
+    steps: int,
+    rate: float,
     decay: float = 3e-4,
-) -> tuple[float, np.ndarray]:
-    """Logistic regression by Adam on max(0, R_u(-) - prior R_p(-)) + prior R_p(+).
+) -> np.ndarray:
+    """``theta`` (weights, bias) after steps of Adam on max(0, R_u(-) - prior R_p(-)) + prior R_p(+) of a logistic regression.
 
-    ``p`` and ``u`` are (starts of rows, columns) of confirmed and unlabelled texts. Where the corrected risk of negatives
-    falls below nought, the step goes up that part's gradient only, as Kiryo et al. prescribe.
+    ``p`` is (starts of rows, columns, times) of confirmed texts, ``u`` (starts, columns) of unlabelled ones. Where the
+    corrected risk of negatives falls below nought, the step goes up that part's gradient only, as Kiryo et al. prescribe.
     """
+    width = len(theta) - 1
 
     def margins(x, w, b):
         sums = np.concatenate([[0.0], np.cumsum(w[x[1]])])
         return b + np.diff(sums[x[0]])
 
     def gradient(x, per_row):
-        g = np.bincount(x[1], np.repeat(per_row, np.diff(x[0])), width)
-        return g, per_row.sum()
+        return np.append(np.bincount(x[1], np.repeat(per_row, np.diff(x[0])), width), per_row.sum())
 
-    n_p, n_u = len(p[0]) - 1, len(u[0]) - 1
-    theta = np.zeros(width + 1)
-    theta[-1] = np.log(prior / (1 - prior))
+    share_p, n_u = p[2] / p[2].sum(), len(u[0]) - 1
+    theta = theta.copy()
     first, second = np.zeros(width + 1), np.zeros(width + 1)
     for step in range(1, steps + 1):
         w, b = theta[:-1], theta[-1]
-        sp = 1 / (1 + np.exp(-margins(p, w, b)))
-        su = 1 / (1 + np.exp(-margins(u, w, b)))
-        negative = -np.log1p(-su * (1 - 1e-12)).mean() + prior * np.log1p(-sp * (1 - 1e-12)).mean()
-        gu, gub = gradient(u, su / n_u)
-        gn, gnb = gradient(p, prior * sp / n_p)
-        if negative >= 0:
-            gp, gpb = gradient(p, prior * (sp - 1) / n_p)
-            g = np.append(gp + gu - gn, gpb + gub - gnb)
-        else:
-            g = np.append(gn - gu, gnb - gub)
+        sp = 1 / (1 + np.exp(-np.clip(margins(p, w, b), -500, 500)))
+        su = 1 / (1 + np.exp(-np.clip(margins(u, w, b), -500, 500)))
+        negative = -np.log1p(-su * (1 - 1e-12)).mean() + prior * (share_p * np.log1p(-sp * (1 - 1e-12))).sum()
+        g = gradient(u, su / n_u) - gradient(p, prior * share_p * sp)
+        g = g + gradient(p, prior * share_p * (sp - 1)) if negative >= 0 else -g
         g[:-1] += decay * w
         first += 0.1 * (g - first)
         second += 0.001 * (g * g - second)
         theta -= rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    return float(theta[-1]), theta[:-1]
+    return theta
+
+
+def _rows(sizes: list[bytes], columns: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    sizes_ = np.frombuffer(b"".join(sizes), np.int32)
+    return np.concatenate([[0], np.cumsum(sizes_)]), np.frombuffer(b"".join(columns), np.int32)
 
 
 def fit_toxicity(
@@ -112,16 +124,21 @@ def fit_toxicity(
     text_col: str = "text",
     label_col: str = "toxic",
     max_positive: int = 10_000,
-    max_unlabelled: int = 30_000,
-    kept_features: int = 4096,
     least_gain: float = 10.0,
+    rounds: int = 4,
+    steps: int = 75,
+    part_rows: int = 50_000,
 ) -> ToxicityModel:
     """Learn from labels and texts whose fold is not the held-out one.
 
-    The classifier is fitted on at most about ``max_positive`` confirmed and ``max_unlabelled`` unlabelled texts, picked by
-    a hash of the id; the prior is counted over all labels, document frequencies over all texts that are not held out. From
-    these come at most ``kept_features`` buckets whose log-likelihood gain for confirmed texts reaches ``least_gain``. Null labels and ids are passed over; of repeated labels of an id the largest
-    counts. Without a confirmed toxic text, or without any other, every text scores the prior (0.5 without labels).
+    The confirmed side is at most about ``max_positive`` texts, picked by a hash (a bounded sample of labelled rows); equal
+    rows of an id are one of as many times' weight. The unlabelled side is every text: their features are kept as a table,
+    and in each of ``rounds`` every task takes ``steps`` steps over all confirmed texts and at least ``part_rows`` unlabelled ones of
+    its own, after which the tasks' weights are averaged by their rows. The prior is counted over all labels. Features are
+    all buckets whose log-likelihood gain for confirmed texts, from document frequencies over all texts, reaches
+    ``least_gain``; the number of buckets bounds what the driver holds. Null labels and ids are passed over; of repeated
+    labels of an id the largest counts. Without a confirmed toxic text, or without any other, every text scores the prior
+    (0.5 without labels).
     """
     spark = documents.sparkSession
     known = (
@@ -136,11 +153,10 @@ def fit_toxicity(
         rate = 0.5 if not n else (positive or 0) / n
         return ToxicityModel(float(np.log(max(rate, 1e-6) / max(1 - rate, 1e-6))), np.zeros(BUCKETS))
     prior = positive / n
+    flat = ToxicityModel(float(np.log(prior / (1 - prior))), np.zeros(BUCKETS))
     ids = [r.id for r in known.where("y = 1").orderBy(F.xxhash64("id"), "id").limit(max_positive).select("id").collect()]
     confirmed = spark.sparkContext.broadcast(np.sort(np.array(ids)))
-    texts = documents.select(documents[id_col].alias("id"), documents[text_col].alias("text")).where(
-        F.col("id").isNotNull() & ~held_out(F.col("id"))
-    )
+    texts = documents.select(documents[id_col].alias("id"), documents[text_col].alias("text")).where(F.col("id").isNotNull() & ~held_out(F.col("id")))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, BUCKETS), np.int64)
@@ -148,82 +164,132 @@ def fit_toxicity(
         for batch in pieces(batches, most=PIECE):
             is_p = np.isin(np.asarray(batch.column("id")), confirmed.value)
             owner, bucket = features(batch.column("text"))
-            total[0] += np.bincount(bucket[is_p[owner]], minlength=BUCKETS)
-            total[1] += np.bincount(bucket, minlength=BUCKETS)
+            np.add.at(total[0], bucket[is_p[owner]], 1)
+            np.add.at(total[1], bucket, 1)
             rows += [is_p.sum(), len(is_p)]
+        # Only buckets that a confirmed text may choose need the counts of all texts; one row for each bucket at most.
         seen = np.flatnonzero(total[1])
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(seen, -1)), pa.array(np.append(total[0][seen], rows[0])), pa.array(np.append(total[1][seen], rows[1]))],
             names=["bucket", "p", "u"],
         )
 
-    # Per task at most one row for each of the fixed number of buckets.
-    counts = texts.mapInArrow(count, "bucket long, p long, u long").groupBy("bucket").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
-    counts = counts.where("bucket = -1 or p >= 3")
-    table = counts.toPandas().set_index("bucket")  # at most one row for each bucket
-    if -1 not in table.index or not table.loc[-1, "p"]:
-        return ToxicityModel(float(np.log(prior / (1 - prior))), np.zeros(BUCKETS))
-    n_p, n_all = table.loc[-1]
-    table = table.drop(index=-1)
-    ratio = np.log(((table.p + 0.5) / (n_p + 1)) / ((table.u + 0.5) / (n_all + 1)))
-    gain = (table.p * ratio)[table.p * ratio >= least_gain].sort_values(ascending=False, kind="stable")
-    chosen = np.sort(gain.index.to_numpy()[:kept_features])
-    share = min(1.0, max_unlabelled / n_all)
+    counts = kept(texts.mapInArrow(count, "bucket long, p long, u long").groupBy("bucket").agg(F.sum("p").alias("p"), F.sum("u").alias("u")), "counts")
+    whole = counts.where("bucket = -1").first()
+    if whole is None or not whole.p:
+        return flat
+    ratio = F.log(((F.col("p") + 0.5) / (whole.p + 1)) / ((F.col("u") + 0.5) / (whole.u + 1)))
+    chosen = np.sort(np.array([r.bucket for r in counts.where("bucket >= 0").where(F.col("p") * ratio >= least_gain).select("bucket").collect()], np.int64))
+    discard(counts)
+    place = np.full(BUCKETS, -1, np.int32)
+    place[chosen] = np.arange(len(chosen))
+    places = spark.sparkContext.broadcast(place)
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, most=PIECE):
             is_p = np.isin(np.asarray(batch.column("id")), confirmed.value)
-            owner, bucket = features(batch.column("text"))
-            at = np.minimum(np.searchsorted(chosen, bucket), max(len(chosen) - 1, 0))
-            keep = chosen[at] == bucket if len(chosen) else np.zeros(len(at), bool)
-            sizes = np.bincount(owner[keep], minlength=batch.num_rows).astype(np.int32)
-            column = at[keep].astype(np.int32)
-            sure = np.flatnonzero(is_p)
-            loose = np.flatnonzero(np.asarray(batch.column("u")))
+            owner, number = chosen_features(batch.column("text"), places.value)
+            sizes = np.bincount(owner, minlength=batch.num_rows).astype(np.int32)
             bounds = np.concatenate([[0], np.cumsum(sizes)])
-            out = [[], [], []]
-            for kind, rows in ((1, sure), (0, loose)):
-                parts = [column[bounds[i] : bounds[i + 1]] for i in rows]
-                out[0].append(kind)
-                out[1].append(sizes[rows].tobytes())
-                out[2].append(np.concatenate([*parts, np.zeros(0, np.int32)]).astype(np.int32).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.binary())], names=["p", "sizes", "columns"])
-
-    sampled = texts.withColumn("u", F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1 << 30)) < int(share * (1 << 30)))
-    parts = sampled.mapInArrow(pick, "p int, sizes binary, columns binary").collect()
-
-    def rows_of(kind):
-        sizes = np.frombuffer(b"".join(bytes(r.sizes) for r in parts if r.p == kind), np.int32)
-        columns = np.frombuffer(b"".join(bytes(r["columns"]) for r in parts if r.p == kind), np.int32)
-        return np.concatenate([[0], np.cumsum(sizes)]), columns
-
-    p, u = rows_of(1), rows_of(0)
+            number = number.astype(np.int32)
+            sure = np.flatnonzero(is_p)
+            # One row for the unlabelled texts of a piece, confirmed ones among them, and one for each confirmed text.
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.concat_arrays([pa.nulls(1, batch.schema.field("id").type), batch.column("id").take(pa.array(sure))]),
+                    pa.array([sizes.tobytes(), *[sizes[i : i + 1].tobytes() for i in sure]], pa.binary()),
+                    pa.array([number.tobytes(), *[number[bounds[i] : bounds[i + 1]].tobytes() for i in sure]], pa.binary()),
+                    pa.array([batch.num_rows] + [1] * len(sure), pa.int64()),
+                ],
+                names=["id", "sizes", "columns", "n"],
+            )
+
+    table = kept(texts.mapInArrow(pick, f"id {dict(documents.dtypes)[id_col]}, sizes binary, columns binary, n long"), "features")
+    own = table.where("id is not null").groupBy("id", "sizes", "columns").agg(F.sum("n").alias("n"))
+    own = own.orderBy(F.xxhash64("id", "columns")).limit(max_positive).collect()
+    p = (*_rows([bytes(r.sizes) for r in own], [bytes(r["columns"]) for r in own]), np.array([r.n for r in own], float))
+    loose = table.where("id is null").select("sizes", "columns", "n")
+    n_u = loose.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    if not len(own) or not n_u:
+        discard(table)
+        return flat
+    theta = np.zeros(len(chosen) + 1)
+    theta[-1] = flat.bias
+    sure = spark.sparkContext.broadcast(p)
+    for turn in range(rounds):
+        start = spark.sparkContext.broadcast(theta)
+
+        def descend(batches: Iterator[pa.RecordBatch], turn=turn, start=start) -> Iterator[pa.RecordBatch]:
+            held: list[tuple[bytes, bytes]] = []
+            rows = 0
+
+            def step() -> pa.RecordBatch:
+                u = _rows([h[0] for h in held], [h[1] for h in held])
+                out = nnpu(sure.value, u, prior, start.value, steps=steps, rate=0.05 / 2**turn)
+                return pa.RecordBatch.from_arrays([pa.array([(out * rows).tobytes()], pa.binary()), pa.array([rows], pa.int64())], names=["theta", "n"])
+
+            for batch in batches:
+                for sizes, columns, k in zip(*(batch.column(c).to_pylist() for c in ("sizes", "columns", "n"))):
+                    held.append((sizes, columns))
+                    rows += k
+                    if rows >= 2 * part_rows:
+                        yield step()
+                        held, rows = [], 0
+            if rows:
+                yield step()
+
+        parts = loose.coalesce(max(1, n_u // part_rows)).mapInArrow(descend, "theta binary, n long")
+        # Summed in the executors: the driver gets one vector of weights from each of a few sums.
+        sums = parts.repartition(8).mapInArrow(_sum, "theta binary, n long").collect()
+        theta = sum(np.frombuffer(r.theta) for r in sums) / sum(r.n for r in sums)
+    discard(table)
     weights = np.zeros(BUCKETS)
-    if len(u[0]) < 2:
-        return ToxicityModel(float(np.log(prior / (1 - prior))), weights)
-    bias, weights[chosen] = nnpu(p, u, prior, len(chosen))
-    return ToxicityModel(bias, weights)
+    weights[chosen] = theta[:-1]
+    return ToxicityModel(float(theta[-1]), weights)
+
+
+def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    theta, n = None, 0
+    for batch in batches:
+        for raw, k in zip(batch.column("theta").to_pylist(), batch.column("n").to_pylist()):
+            own = np.frombuffer(raw)
+            theta, n = (own.copy() if theta is None else theta + own), n + k
+    if theta is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([theta.tobytes()], pa.binary()), pa.array([n], pa.int64())], names=["theta", "n"])
 
 
-def score_toxicity(documents: DataFrame, model: ToxicityModel, *, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """One row per document: ``id_col, held_out, score, predicted`` (and the columns in ``keep``), in one scan.
+def _judge(batch: pa.RecordBatch, model: ToxicityModel, text: str) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(model.log_odds(batch.column(text)), -500, 500)))
 
-    Whole texts are scored; null and empty texts get the score of a text without features. Repeated rows are scored each.
+
+def score_toxicity(documents: DataFrame, model: ToxicityModel, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: ``id_col, held_out, score, predicted``, in one scan.
+
+    Whole texts are scored; null and empty texts get the score of a text without features. Repeated rows are scored each;
+    other columns are not read; an empty table gives no rows.
     """
     shared = documents.sparkSession.sparkContext.broadcast(model)
-    kind = dict(documents.dtypes)[id_col]
-    extra = [(f"_k{i}", c) for i, c in enumerate(keep or [])]
-    source = documents.select(documents[id_col].alias("id"), documents[text_col].alias("text"), *[documents[c].alias(k) for k, c in extra])
+    source = documents.select(documents[id_col].alias("id"), documents[text_col].alias("text"))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, most=PIECE):
-            score = 1 / (1 + np.exp(-np.clip(shared.value.log_odds(batch.column("text")), -500, 500)))
+            score = _judge(batch, shared.value, "text")
             own = [pa.array(fold(batch.column("id").to_pylist()) == HELD_OUT), pa.array(score), pa.array((score >= 0.5).astype(np.int32))]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *own, *[batch.column(k) for k, _ in extra]], names=["id", "held_out", "score", "predicted", *[k for k, _ in extra]])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *own], names=["id", "held_out", "score", "predicted"])
 
-    schema = ", ".join([f"id {kind}, held_out boolean, score double, predicted int", *[f"{k} {dict(documents.dtypes)[c]}" for k, c in extra]])
-    out = source.mapInArrow(judge, schema)
-    return out.select(F.col("id").alias(id_col), "held_out", "score", "predicted", *[F.col(k).alias(f"kept_{c}") for k, c in extra])
+    out = source.mapInArrow(judge, f"id {dict(documents.dtypes)[id_col]}, held_out boolean, score double, predicted int")
+    return out.withColumnRenamed("id", id_col)
+
+
+def without_toxic(documents: DataFrame, model: ToxicityModel, *, text_col: str = "text") -> DataFrame:
+    """The rows that score below 0.5, with all their columns unchanged, in one scan; each row is judged by its own text, ids are not read."""
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, text_col, most=PIECE):
+            yield batch.filter(pa.array(_judge(batch, shared.value, text_col) < 0.5))
+
+    return documents.mapInArrow(clean, documents.schema)
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,11 +298,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not reject, unchanged."""
-    model = fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    names = ["doc_id", "text", "lang", "source", "n_chars"]
-    scored = score_toxicity(docs, model, keep=names)
-    return scored.where("predicted = 0").select(*[F.col(f"kept_{c}").alias(c) for c in names])
+    """Documents that the classifier does not reject, with all their columns unchanged.
+
+    Rows without an id, repeated rows and empty texts are judged like all others, by their text alone; an empty table stays empty.
+    """
+    return without_toxic(docs, fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 QUERIES = {"op5_toxicity": op5_toxicity}
