@@ -26,5 +26,5 @@ def components(links: DataFrame, most_rounds: int = 100) -> DataFrame:
         labels = jumped
         if labels.where("label <> old").isEmpty():
             discard(both)
-            return labels.select("v", "label")
+            return labels  # the caller may discard it
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")

@@ -26,8 +26,8 @@ from annolith.session import discard, kept, sweep
 FREQUENT = 1 << 18
 #: Entries of a frequent token's list that go to one part; later rounds join the parts of a list.
 PART = 20_000
-#: Bytes of text taken apart at once where batches need not be merged.
-PIECE = 4 << 20
+#: Bytes of text taken apart at once; tokens among which a task looks for repeated ones.
+PIECE, WINDOW = 2 << 20, 2_500_000
 ENTRY = ("token", "part", "node", "size", "place")
 SALT_A, SALT_B = np.uint64(0x1B873593CC9E2D51), np.uint64(0x5851F42D4C957F2D)
 
@@ -51,26 +51,35 @@ def prefix_length(size: int, percent: int) -> int:
 
 
 def _scan(width: int):
-    """Rows of documents (id, n, a, b), and of tokens that a batch holds in several distinct sets (token, hits)."""
+    """Rows of documents (id, n, a, b), and of tokens that several distinct sets of a task's WINDOW hold (token, hits)."""
+
+    def rows(id_, n, a, b, token, hits) -> pa.RecordBatch:
+        line = [pa.array(x, pa.int64()) if x is not None else None for x in (id_, n, a, b, token, hits)]
+        size = max(len(x) for x in line if x is not None)
+        return pa.RecordBatch.from_arrays([pa.nulls(size, pa.int64()) if x is None else x for x in line], names=["id", "n", "a", "b", "token", "hits"])
+
+    def frequent(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        tokens, hits = (np.concatenate([h[k] for h in held]) for k in range(2))
+        order = np.argsort(tokens, kind="stable")
+        tokens, hits = tokens[order], hits[order]
+        starts = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1])) if len(tokens) else np.zeros(0, np.int64)
+        hits = np.add.reduceat(hits, starts) if len(starts) else hits
+        return rows(None, None, None, None, tokens[starts][hits > 1].view(np.int64), hits[hits > 1])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        held, total, seen = [], 0, set()
+        for batch in pieces(batches, most=PIECE):
             sets = shingle_sets(batch.column("text"), width)
             a, b = signatures(sets)
-            sizes = np.array([len(s) for s in sets], np.int64)
-            first = np.unique(a, return_index=True)[1]
-            tokens, hits = np.unique(np.concatenate([np.zeros(0, np.uint64), *[sets[k] for k in first]]), return_counts=True)
-            tokens, hits = tokens[hits > 1].view(np.int64), hits[hits > 1]
-            n, m = len(sets), len(tokens)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.concat_arrays([batch.column("id").cast(pa.int64()), pa.nulls(m, pa.int64())]),
-                    *[pa.concat_arrays([pa.array(x), pa.nulls(m, pa.int64())]) for x in (sizes, a, b)],
-                    pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(tokens)]),
-                    pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(hits, pa.int64())]),
-                ],
-                names=["id", "n", "a", "b", "token", "hits"],
-            )
+            yield rows(batch.column("id").cast(pa.int64()), np.array([len(s) for s in sets], np.int64), a, b, None, None)
+            fresh = [s for s, x in zip(sets, a.tolist()) if x not in seen and not seen.add(x)]
+            held.append(np.unique(np.concatenate([np.zeros(0, np.uint64), *fresh]), return_counts=True))
+            total += len(held[-1][0])
+            if total > WINDOW:
+                yield frequent(held)
+                held, total, seen = [], 0, set()
+        if held:
+            yield frequent(held)
 
     return scan
 
@@ -286,7 +295,9 @@ def jaccard_join(
         answers.append(_answers(rest, nodes, texts, width, percent))
         discard(rest)
         linked = linked.union(answers[-1].where("linked").select("a", "b"))
+        discard(labels)
         labels = components(linked)
+    discard(walked, *answers)
     by_node = nodes.join(labels.select(F.col("v").alias("node"), "label"), "node", "left")
     by_node = by_node.select("node", "b", "id", "copies", F.coalesce("label", "node").alias("label"))
     smallest = by_node.groupBy("label").agg(F.min("id").alias("component"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import zlib
 from collections.abc import Iterator
 
@@ -139,8 +140,17 @@ def fold(ids, folds: int = 5) -> np.ndarray:
     return np.array([zlib.crc32(b"" if i is None else str(i).encode()) % folds for i in ids], np.int64)
 
 
-def pieces(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about ``most`` bytes of text, so that memory does not follow row width."""
+def release() -> None:
+    """Give freed memory back to the system: idle workers stay for a while, and would keep what their last task took."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def pieces(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``most`` bytes of text, or of one row whose text is longer; memory follows the longest text."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -150,3 +160,4 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 16
         for a, b in zip(cuts[:-1], cuts[1:]):
             if b > a:
                 yield batch.slice(a, b - a)
+    release()
