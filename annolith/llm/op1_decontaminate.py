@@ -1,7 +1,8 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
 A test item with an error budget of k edits is cut into k + 1 pieces; a passage within k edits of it holds one piece unchanged.
-One automaton finds all pieces in a text; each hit's window is verified by Myers' bit-parallel edit distance.
+One automaton finds all pieces in a text; each hit's window is verified by Myers' bit-parallel edit distance. Items too short for
+an edit must stand between word ends; items of fewer than LEAST_WORDS words prove nothing within a longer text and must be all of it.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from annolith.llm.textkit import pieces
 from annolith.session import discard, kept
 
+#: Words from which on an item may match a part of a text.
+LEAST_WORDS = 5
 _BREAKS = re.compile(r"[\W_]+")
 
 
@@ -64,10 +67,21 @@ class Pattern:
 
 
 class Matcher:
-    """Automaton of the pieces of a block of items ``(id, text)``."""
+    """Automaton of the pieces of a block of items ``(id, text)``.
 
-    def __init__(self, items: list[tuple[int, str]], error_rate: float):
-        self.items = [(i, n, int(len(n) * error_rate)) for i, t in items if (n := normal(t))]
+    Texts are searched with a blank on either side, which the items without an edit to spare have too.
+    """
+
+    def __init__(self, items: list[tuple[int, str]], error_rate: float, least_words: int = LEAST_WORDS):
+        self.items: list[tuple[int, str, int]] = []
+        self.whole: dict[str, list[int]] = {}
+        for i, t in items:
+            n = normal(t)
+            budget = int(len(n) * error_rate)
+            if n and n.count(" ") + 1 < least_words:
+                self.whole.setdefault(n, []).append(i)
+            elif n:
+                self.items.append((i, n if budget else f" {n} ", budget))
         places: dict[str, list[tuple[int, int]]] = {}
         for k, (_, item, budget) in enumerate(self.items):
             for place, piece in split_even(item, budget + 1):
@@ -80,8 +94,10 @@ class Matcher:
         """(item id, distance, end of the passage in the normalised text) of each item within its budget."""
         import ahocorasick
 
-        if not self.places:
-            return []
+        found = [(i, 0, len(text)) for i in self.whole.get(text, ())] if text else []
+        if not self.places or not text:
+            return found
+        size_, text = len(text), f" {text} "
         if self.automaton is None:  # built once in each worker
             self.automaton = ahocorasick.Automaton()
             for piece, where in self.places.items():
@@ -91,12 +107,11 @@ class Matcher:
         for end, (size, where) in self.automaton.iter(text):
             for k, place in where:
                 starts.setdefault(k, set()).add(end + 1 - size - place)
-        found = []
         for k, own in starts.items():
             name, item, budget = self.items[k]
             exact = text.find(item) if any(text.startswith(item, s) for s in own if s >= 0) else -1
             if exact >= 0:
-                found.append((name, 0, exact + len(item)))
+                found.append((name, 0, min(size_, exact + len(item) - (1 if budget else 2))))
                 continue
             best = None
             for a, b in _merge(sorted(own), 2 * budget + 1):
@@ -105,7 +120,7 @@ class Matcher:
                 if least <= budget and (best is None or least < best[0]):
                     best = (least, low + end)
             if best:
-                found.append((name, *best))
+                found.append((name, best[0], min(size_, max(best[1] - 1, 0))))
         return found
 
 
@@ -138,6 +153,7 @@ def decontaminate(
     benchmark: DataFrame,
     *,
     error_rate: float = 0.08,
+    least_words: int = LEAST_WORDS,
     id_col: str = "doc_id",
     text_col: str = "text",
     item_col: str = "item_id",
@@ -147,35 +163,40 @@ def decontaminate(
     """``id_col, item_col, distance, end_at`` of each document and item it holds, within ``error_rate`` edits a character.
 
     Both sides are normalised (:func:`normal`). ``distance`` is the least, ``end_at`` the end of its first passage in the
-    normalised text. Null, empty and blank texts and items match nothing; null ids are kept as they are; repeated documents
+    normalised text. Items that may have no edit (shorter than 1 / ``error_rate`` characters) match whole words only, items of
+    fewer than ``least_words`` words only texts that are nothing else. Null, empty and blank texts and items match nothing; null ids are kept as they are; repeated documents
     are answered each, repeated items each; an empty table gives no rows; other columns are not read. Items go out in
-    blocks of ``block_chars`` characters, one pass over the documents for each block, without a shuffle.
+    blocks of ``block_chars`` characters, one pass over the documents for each block, without a shuffle; with several blocks
+    each one's answers are written before the next is read, so the driver and a task hold one block.
     """
     spark = documents.sparkSession
     kinds = dict(documents.dtypes)[id_col], dict(benchmark.dtypes)[item_col]
     source = documents.select(documents[id_col].alias("id"), documents[text_col].alias("text"))
     schema = f"id {kinds[0]}, item {kinds[1]}, distance int, end_at long"
 
-    def one_pass(items: list[tuple[int, str]]) -> DataFrame:
-        shared = spark.sparkContext.broadcast(Matcher(items, error_rate))
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    item_type = to_arrow_type(benchmark.schema[item_col].dataType)
 
+    def one_pass(shared) -> DataFrame:
         def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             matcher = shared.value
             for batch in pieces(batches):
                 rows = [(i, *hit) for i, t in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()) for hit in matcher.matches(normal(t))]
                 columns = list(zip(*rows)) or [[], [], [], []]
-                types = (batch.schema.field("id").type, None, pa.int32(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) if t else pa.array(c, item_type) for c, t in zip(columns, types)], names=["id", "item", "distance", "end_at"])
+                types = (batch.schema.field("id").type, item_type, pa.int32(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["id", "item", "distance", "end_at"])
 
         return source.mapInArrow(match, schema)
 
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    item_type = to_arrow_type(benchmark.schema[item_col].dataType)
-    out = [one_pass(items) for items in _blocks(benchmark, item_col, item_text_col, block_chars)]
-    result = out[0]
-    for more in out[1:]:
-        result = result.union(more)
+    result = written = last = None
+    for items in _blocks(benchmark, item_col, item_text_col, block_chars):
+        if last is not None:
+            part = kept(one_pass(last), "matches")
+            last.destroy()
+            written = part if written is None else written.union(part)
+        last = spark.sparkContext.broadcast(Matcher(items, error_rate, least_words))
+    result = one_pass(last) if written is None else written.union(one_pass(last))
     return result.withColumnRenamed("id", id_col).withColumnRenamed("item", item_col)
 
 
@@ -183,16 +204,14 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-def without_items(documents: DataFrame, benchmark: DataFrame, *, error_rate: float = 0.08, block_chars: int = 4_000_000) -> DataFrame:
+def without_items(documents: DataFrame, benchmark: DataFrame, *, error_rate: float = 0.08, least_words: int = LEAST_WORDS, block_chars: int = 4_000_000) -> DataFrame:
     """The rows that hold no benchmark item, unchanged, each judged by its own text: ids may be null or repeat.
 
-    One pass over the rows left for each block of items; between blocks they are written to the shared folder, so that a
-    task holds one automaton.
+    One pass over the rows left for each block of items; between blocks they are written to the shared folder, so that the
+    driver and a task hold one automaton.
     """
 
-    def one_pass(rows: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
-        shared = rows.sparkSession.sparkContext.broadcast(Matcher(items, error_rate))
-
+    def one_pass(rows: DataFrame, shared) -> DataFrame:
         def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             matcher = shared.value
             for batch in pieces(batches):
@@ -200,14 +219,15 @@ def without_items(documents: DataFrame, benchmark: DataFrame, *, error_rate: flo
 
         return rows.mapInArrow(clean, rows.schema)
 
-    out, written = None, []
+    last, written = None, []
     for items in _blocks(benchmark, "item_id", "text", block_chars):
-        if out is not None:
-            documents = kept(out, "clean")
+        if last is not None:
+            documents = kept(one_pass(documents, last), "clean")
+            last.destroy()
             discard(*written)
             written = [documents]
-        out = one_pass(documents, items)
-    return out
+        last = documents.sparkSession.sparkContext.broadcast(Matcher(items, error_rate, least_words))
+    return one_pass(documents, last)
 
 
 def stage_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
