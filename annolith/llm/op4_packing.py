@@ -177,7 +177,10 @@ class Plan:
 
 
 def best_two_fit(counts: np.ndarray, capacity: int = CAPACITY) -> Plan:
-    """Plan for ``counts[l]`` pieces of each length l (1 to capacity); every pattern uses up one length at least."""
+    """Plan for ``counts[l]`` pieces of each length l (1 to capacity); every pattern uses up one length at least.
+
+    Of equal choices the longer first piece is taken; no pieces give a plan without sequences.
+    """
     left = np.array(counts, np.int64)
     runs: list[tuple[int, int, int, int, int]] = []  # length, sequences, first sequence, slots of each, offset
     sequences = 0
@@ -304,7 +307,8 @@ def _ranked(kept_: DataFrame, before: DataFrame) -> DataFrame:
     from pyspark.sql import Window
 
     inside = F.row_number().over(Window.partitionBy("part", "length").orderBy("nth")) - 1
-    return kept_.withColumn("inside", inside).join(before, ["part", "length"]).withColumn("rank", F.col("inside") + F.col("before"))
+    # A merge join: the counts follow the number of parts, and pieces stand by (part, length) already.
+    return kept_.withColumn("inside", inside).join(before.hint("merge"), ["part", "length"]).withColumn("rank", F.col("inside") + F.col("before"))
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -312,7 +316,7 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents that are left, with their places."""
+    """The pieces of all documents that are left, with their places; rows with a null or repeated id are packed like all others, null and empty texts as one end id."""
     return pack(docs)
 
 
