@@ -6,6 +6,7 @@ neighbouring words; it is trained from labelled findings.
 
 from __future__ import annotations
 
+import json
 import random
 import re
 import string
@@ -26,7 +27,8 @@ ASSIGNED = re.compile(r"""(?i)\b[\w-]{0,40}(?:passw(?:or)?d|pwd|secret|token|api
 TELLING = re.compile(r"(?i)passw(?:or)?d|pwd|secret|token|api[_-]?key|access[_-]?key|auth|bearer|credential|private")
 HARMLESS = re.compile(r"(?i)\b(?:sha\d*|md5|commit|digest|checksum|hash|uuid|guid|card|iban|phone|tel|isbn|order|invoice|id|version|example|sample|placeholder|revision|etag|mailto)\b")
 EXAMPLE_PATH = re.compile(r"(?i)test|example|sample|fixture|mock|doc|lock|vendor|dist")
-DICTIONARY = (
+#: Words of settings and of made examples (:func:`labelled_findings`).
+COMMON = (
     "password", "secret", "token", "example", "sample", "test", "user", "admin", "config", "default", "change", "your", "here", "value", "data", "file",
     "name", "path", "image", "index", "module", "component", "service", "request", "response", "handler", "manager", "version", "release", "build", "local",
     "host", "server", "client", "public", "private", "access", "account", "number", "string", "object", "class", "function", "table", "query", "script",
@@ -35,6 +37,49 @@ DICTIONARY = (
 )
 
 
+class Dictionary:
+    """Words for the coverage feature; its automaton is built once in each worker."""
+
+    def __init__(self, words: Iterable[str], least: int = 4):
+        self.words = sorted({w.lower() for w in words if len(w) >= least})
+        self._automaton = None
+
+    def __getstate__(self):
+        return self.words
+
+    def __setstate__(self, words):
+        self.words, self._automaton = words, None
+
+    def covered(self, text: str) -> int:
+        """Characters of ``text`` in words, taken from the left, the longest word first, none over another."""
+        import ahocorasick
+
+        if not self.words:
+            return 0
+        if self._automaton is None:
+            self._automaton = ahocorasick.Automaton()
+            for w in self.words:
+                self._automaton.add_word(w, len(w))
+            self._automaton.make_automaton()
+        return sum(size for _, size in self._automaton.iter_long(text.lower()))
+
+
+def tokenizer_words(path: str | None = None) -> list[str]:
+    """The whole words of plain letters in a public tokenizer's vocabulary (a file with word ends)."""
+    if path is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path("word_bpe_49k.json")
+    with open(path, encoding="utf-8") as file:
+        vocabulary = json.load(file)["model"]["vocab"]
+    return [w[:-4] for w in vocabulary if w.endswith("</w>") and w[:-4].isascii() and w[:-4].isalpha()]
+
+
+@lru_cache(1)
+def default_dictionary() -> Dictionary:
+    return Dictionary([*COMMON, *tokenizer_words()])
+
+
 @dataclass
 class Finding:
     """A labelled candidate: its text, its place there, and 1 for a secret, 0 for a false positive."""
@@ -69,30 +114,24 @@ _VOWELS = set("aeiouyAEIOUY")
 FEATURES = 20
 
 
-@lru_cache(8)
-def _words(dictionary: tuple[str, ...]) -> re.Pattern:
-    return re.compile("|".join(sorted(map(re.escape, dictionary), key=len, reverse=True)), re.IGNORECASE)
-
-
-def describe(text: str, start: int, end: int, path: str | None, dictionary: tuple[str, ...] = DICTIONARY) -> list[float]:
-    """Features of a candidate."""
+def describe(text: str, start: int, end: int, path: str | None, dictionary: Dictionary | None = None) -> list[float]:
+    """Features of a candidate, from all of it."""
     own = text[start:end]
     size = len(own)
-    head = own[:4096]  # only features are taken from it; the finding keeps its whole span
-    kinds = [_KIND.get(c, 3) for c in head]
+    kinds = [_KIND.get(c, 3) for c in own]
     n = len(kinds)
     share = [kinds.count(k) / n for k in range(4)]
     steps = sum(a != b for a, b in zip(kinds, kinds[1:])) / max(1, n - 1)
     into_digit = sum(a != 2 and b == 2 for a, b in zip(kinds, kinds[1:])) / max(1, n - 1)
-    vowel_steps = sum((a in _VOWELS) != (b in _VOWELS) for a, b in zip(head, head[1:]) if a.isalpha() and b.isalpha()) / max(1, n - 1)
-    counts = np.unique(list(head), return_counts=True)[1] / n
+    vowel_steps = sum((a in _VOWELS) != (b in _VOWELS) for a, b in zip(own, own[1:]) if a.isalpha() and b.isalpha()) / max(1, n - 1)
+    counts = np.unique(list(own), return_counts=True)[1] / n
     entropy = float(-(counts * np.log2(counts)).sum())
-    covered = sum(len(m[0]) for m in _words(dictionary).finditer(head)) / n
+    covered = (dictionary or default_dictionary()).covered(own) / n
     before, after = text[max(0, start - 60) : start], text[end : end + 24]
     near = " ".join(before.split()[-3:])
     return [
-        min(size, 400), *share, steps, into_digit, vowel_steps, entropy, covered,
-        float(all(c in "0123456789abcdefABCDEF" for c in head)), float(head.isdigit()), float(re.match(r"AKIA|ASIA|gh[pousr]_|sk-|xox|eyJ|AIza", own) is not None),
+        size, *share, steps, into_digit, vowel_steps, entropy, covered,
+        float(all(c in "0123456789abcdefABCDEF" for c in own)), float(own.isdigit()), float(re.match(r"AKIA|ASIA|gh[pousr]_|sk-|xox|eyJ|AIza", own) is not None),
         float(size in (32, 40, 64)), float(before.rstrip(" \"'").endswith(("=", ":"))), float(bool(TELLING.search(near))), float(bool(HARMLESS.search(near))),
         float(before.endswith(("/", "\\", ".", "@")) or after.startswith(("/", ".", "@"))), float(own.count("-") + own.count("/")), float(bool(EXAMPLE_PATH.search(path or ""))),
     ]
@@ -156,7 +195,18 @@ def grow(x: np.ndarray, y: np.ndarray, *, trees: int = 40, depth: int = 10, leas
     return Forest(out)
 
 
-def train(findings: Iterable[Finding], dictionary: tuple[str, ...] = DICTIONARY, **options) -> Forest:
+def findings_of(table: DataFrame, *, most: int = 20_000, text_col: str = "text", start_col: str = "start", end_col: str = "end", path_col: str = "path", label_col: str = "label") -> list[Finding]:
+    """Labelled findings from a table, at most ``most`` of them, picked by a hash.
+
+    Rows with a null text, place or label, or a place outside the text, are passed over; of equal rows one is taken.
+    """
+    names = ((text_col, "text", "string"), (start_col, "start", "int"), (end_col, "end", "int"), (path_col, "path", "string"), (label_col, "label", "int"))
+    rows = table.select(*[table[c].cast(kind).alias(name) for c, name, kind in names]).where("label is not null and start >= 0 and start < end and end <= length(text)")
+    picked = rows.distinct().orderBy(F.xxhash64("text", "start", "end"), "text", "start", "end", "path", "label").limit(most)
+    return [Finding(r.text, r.start, r.end, r.path, int(r.label != 0)) for r in picked.collect()]
+
+
+def train(findings: Iterable[Finding], dictionary: Dictionary | None = None, **options) -> Forest:
     """A forest from labelled findings; at least one of them is needed."""
     found = list(findings)
     x = np.array([describe(f.text, f.start, f.end, f.path, dictionary) for f in found], float)
@@ -187,8 +237,8 @@ def labelled_findings(n: int = 4000, seed: int = 17) -> list[Finding]:
         lambda: (rng.choice(("commit ", "sha256:", "md5 ", "checksum = ", "digest: ", "revision ")), some(hexes, rng.choice((32, 40, 64))), ""),
         lambda: (rng.choice(("", "id ", "uuid ")), "-".join(some(hexes, k) for k in (8, 4, 4, 4, 12)), ""),
         lambda: (f"{key()} = ", rng.choice(("your_token_here1", "CHANGE_ME_123456", "example-password-1", "xxxxxxxxxxxx1234", "YOUR_API_KEY_HERE_2", "dummy_secret_value1", "<your-token>", "changeme", "test-token-123456")), ""),
-        lambda: ("", "/".join(rng.choice(DICTIONARY) for _ in range(3)) + f"/{rng.choice(DICTIONARY)}{rng.randint(1, 99)}", ".py"),
-        lambda: ("", rng.choice(DICTIONARY) + rng.choice(DICTIONARY).title() + rng.choice(DICTIONARY).title() + str(rng.randint(1, 999)), "("),
+        lambda: ("", "/".join(rng.choice(COMMON) for _ in range(3)) + f"/{rng.choice(COMMON)}{rng.randint(1, 99)}", ".py"),
+        lambda: ("", rng.choice(COMMON) + rng.choice(COMMON).title() + rng.choice(COMMON).title() + str(rng.randint(1, 999)), "("),
         lambda: ("", f"{rng.randint(1990, 2030)}-{rng.randint(1, 12):02}-{rng.randint(1, 28):02}T{rng.randint(10, 23)}", ":30"),
         lambda: ("", f"{word()}_{word()}_{rng.randint(1, 9999)}_{word()}", ""),
         lambda: ("", word() + word() + word() + str(rng.randint(1, 99)), rng.choice(("@mail.example.com", " "))),
@@ -212,7 +262,7 @@ def labelled_findings(n: int = 4000, seed: int = 17) -> list[Finding]:
 # ---------------------------------------------------------------- distributed
 
 
-def _findings(forest: Forest, text: str | None, path: str | None, dictionary: tuple[str, ...]) -> list[tuple[int, int, float]]:
+def _findings(forest: Forest, text: str | None, path: str | None, dictionary: Dictionary) -> list[tuple[int, int, float]]:
     spans = candidates(text or "")
     if not spans:
         return []
@@ -221,14 +271,14 @@ def _findings(forest: Forest, text: str | None, path: str | None, dictionary: tu
 
 
 def scan_secrets(
-    documents: DataFrame, forest: Forest, *, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source", dictionary: tuple[str, ...] = DICTIONARY
+    documents: DataFrame, forest: Forest, *, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source", dictionary: Dictionary | None = None
 ) -> DataFrame:
     """``id_col, start, length, score`` of each finding that the forest keeps (score 0.5 or more), in characters of the text.
 
     Null and empty texts have no findings; a null path and none are the same; null ids are kept as they are; repeated rows are scanned each; an empty
     table gives no rows. One scan, no shuffle; other columns are not read.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(forest)
+    shared = documents.sparkSession.sparkContext.broadcast((forest, dictionary or default_dictionary()))
     path = documents[path_col].cast("string") if path_col else F.lit(None).cast("string")
     source = documents.select(documents[id_col].alias("id"), documents[text_col].alias("text"), path.alias("path"))
 
@@ -237,7 +287,7 @@ def scan_secrets(
             rows = [
                 (i, a, b - a, s)
                 for i, text, path in zip(*(batch.column(c).to_pylist() for c in ("id", "text", "path")))
-                for a, b, s in _findings(shared.value, text, path, dictionary)
+                for a, b, s in _findings(shared.value[0], text, path, shared.value[1])
             ]
             columns = list(zip(*rows)) or [[]] * 4
             types = (batch.schema.field("id").type, pa.int64(), pa.int64(), pa.float64())
@@ -246,9 +296,12 @@ def scan_secrets(
     return source.mapInArrow(scan, f"id {dict(documents.dtypes)[id_col]}, start long, length long, score double").withColumnRenamed("id", id_col)
 
 
-def redact(documents: DataFrame, forest: Forest, *, text_col: str = "text", path_col: str | None = "source", size_col: str | None = "n_chars", mark: str = "[SECRET]", dictionary: tuple[str, ...] = DICTIONARY) -> DataFrame:
-    """All rows and columns, each kept finding in ``text_col`` replaced by ``mark``; ``size_col`` is counted anew in changed rows."""
-    shared = documents.sparkSession.sparkContext.broadcast(forest)
+def redact(documents: DataFrame, forest: Forest, *, text_col: str = "text", path_col: str | None = "source", size_col: str | None = "n_chars", mark: str = "[SECRET]", dictionary: Dictionary | None = None) -> DataFrame:
+    """All rows and columns, each kept finding in ``text_col`` replaced by ``mark``; ``size_col`` is counted anew in changed rows.
+
+    Null and empty texts stay as they are; rows with a null or repeated id are rewritten each; an empty table stays empty.
+    """
+    shared = documents.sparkSession.sparkContext.broadcast((forest, dictionary or default_dictionary()))
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, text_col):
@@ -256,7 +309,7 @@ def redact(documents: DataFrame, forest: Forest, *, text_col: str = "text", path
             paths = batch.column(path_col).to_pylist() if path_col else [None] * len(texts)
             sizes = batch.column(size_col).to_pylist() if size_col else None
             for k, (text, path) in enumerate(zip(texts, paths)):
-                found = _findings(shared.value, text, path, dictionary)
+                found = _findings(shared.value[0], text, path, shared.value[1])
                 for a, b, _ in reversed(found):
                     texts[k] = texts[k][:a] + mark + texts[k][b:]
                 if found and sizes:
@@ -272,7 +325,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets in their texts replaced by a mark."""
+    """All documents with all their columns, secrets in their texts replaced by a mark; ids are not read, null texts stay null."""
     return redact(docs, train(labelled_findings()))
 
 

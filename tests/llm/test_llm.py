@@ -72,6 +72,50 @@ def test_decontamination_finds_edited_passages(spark):
     assert op1.decontaminate(docs(spark, []), bench).count() == 0 == op1.decontaminate(d, bench.limit(0)).count()
 
 
+def distance_in(item, text):
+    """The least edit distance between the item and any passage of the text."""
+    row = [0] * (len(text) + 1)
+    for i, c in enumerate(item, 1):
+        new = [i]
+        for j, d in enumerate(text, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (c != d)))
+        row = new
+    return min(row)
+
+
+def test_decontamination_against_brute_force(spark):
+    rng = np.random.default_rng(12)
+    words = np.array(["river", "stone", "a", "lamp", "under", "of", "bright", "seven", "it", "cold"])
+    items = [" ".join(rng.choice(words, n)) for n in (5, 6, 9, 14, 14, 20, 2, 1)] + ["it a of it a", None, "", "..."]
+    texts = [None, "", "river", "cold LAMP!"]
+    for k in range(60):
+        own = " ".join(rng.choice(words, 12))
+        item = list(items[k % 9])
+        for _ in range(rng.integers(0, 6)):
+            place = rng.integers(0, len(item))
+            item[place : place + 1] = rng.choice(list("xyz"), rng.integers(0, 3)).tolist()
+        texts.append(f"{own}, {''.join(item)}; {own[:30]}" if k % 3 else "".join(item))
+    want = set()
+    for i, t in enumerate(texts):
+        for j, item in enumerate(items):
+            a, b = op1.normal(item), op1.normal(t)
+            budget = int(len(a) * 0.08)
+            if not a or not b:
+                continue
+            if len(a.split()) < 5:
+                d = 0 if a == b else 99
+            elif not budget:
+                d = 0 if f" {a} " in f" {b} " else 99
+            else:
+                d = distance_in(a, b)
+            if d <= budget:
+                want.add((i, j, d))
+    d, bench = docs(spark, enumerate(texts)), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    for block in (4_000_000, 50):
+        assert {(r.doc_id, r.item_id, r.distance) for r in op1.decontaminate(d, bench, block_chars=block).collect()} == want
+    assert len(want) > 20
+
+
 def test_nearest_neighbours(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(600, 24))
@@ -173,6 +217,31 @@ def test_best_two_fit_plans():
     assert set(sequence) == set(range(plan.sequences)) and plan.sequences <= -(-length.sum() // 2048) + 3
 
 
+def test_packing_of_a_corpus_against_the_tokenizer(spark):
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(op4.default_tokenizer())
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    want = {}
+    for r in table.collect():
+        ids = [*whole.encode(r.text or "", add_special_tokens=False).ids, 0]
+        for k in range(0, len(ids), 2048):
+            part = ids[k : k + 2048]
+            want[r.doc_id, k // 2048] = (k, len(part), zlib.crc32(np.array(part, "<u4").tobytes()))
+    got = op4.pack(table).collect()
+    assert {(r.doc_id, r.piece): (r.start, r.length, r.ids_crc32) for r in got} == want and len(got) == len(want)
+    bins = {}
+    for r in got:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for own in bins.values():
+        reach = 0
+        for offset, length in sorted(own):
+            assert offset == reach
+            reach += length
+        assert reach <= 2048
+    assert len(bins) <= -(-sum(w[1] for w in want.values()) // 2048) + 2
+
+
 def test_packing_loses_nothing(spark):
     got = op4.pack(docs(spark, HARD)).toPandas()
     assert len(got) > len(HARD) and (got.groupby("sequence_id").length.sum() <= 2048).all()
@@ -304,6 +373,38 @@ def test_secrets(spark):
     assert op10.scan_secrets(docs(spark, []), forest).count() == 0
 
 
+def test_secrets_against_a_plain_run(spark):
+    forest = op10.train(op10.labelled_findings(600), trees=9)
+    rows = spark.read.parquet(f"{SF}/documents.parquet").union(spark.createDataFrame([(None, "key=" + "aB3x/" * 4000, None, None, None), (-1, None, None, None, None)], "doc_id long, text string, lang string, source string, n_chars int"))
+
+    def votes(x):
+        total = 0
+        for feature, cut, left, right, share in forest.trees:
+            at = 0
+            while feature[at] >= 0:
+                at = left[at] if x[feature[at]] <= cut[at] else right[at]
+            total += share[at]
+        return total / len(forest.trees)
+
+    want = []
+    for r in rows.collect():
+        for a, b in op10.candidates(r.text or ""):
+            if votes(op10.describe(r.text, a, b, r.source)) >= 0.5:
+                want.append((r.doc_id, a, b - a))
+    got = [(r.doc_id, r.start, r.length) for r in op10.scan_secrets(rows, forest).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str) and want
+
+
+def test_findings_of_a_table_and_dictionary(spark):
+    rows = [("use k3y9 here", 4, 8, "p", 1), ("use k3y9 here", 4, 8, "p", 1), ("abc", 2, 9, None, 0), (None, 0, 1, None, 1), ("abc", 0, 3, None, None), ("word", 0, 4, None, 0)]
+    table = spark.createDataFrame(rows, "text string, start int, end int, path string, label int")
+    found = op10.findings_of(table)
+    assert sorted((f.text, f.label) for f in found) == [("use k3y9 here", 1), ("word", 0)] and len(op10.findings_of(table, most=1)) == 1
+    own = op10.Dictionary(["word", "wordy", "cat"])
+    assert own.covered("xWORDYword9cat") == 9 and op10.Dictionary([]).covered("word") == 0
+    assert op10.describe("a " + "q7" * 5000, 2, 10_002, None, own)[0] == 10_000
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as pipeline
 
