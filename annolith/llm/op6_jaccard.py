@@ -225,6 +225,8 @@ def _answers(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, p
     asked = pairs.select("a").union(pairs.select("b")).distinct().join(nodes, F.col("a") == F.col("node")).select("node", "id")
     sets = texts.join(asked, "id").select("node", "text").mapInArrow(_sets(width), "node long, tokens binary")
     sets = kept(sets, "sets")
+    del asked
+    sweep(sets.sparkSession)  # the shuffled texts go before the sets are shuffled
     joined = pairs.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b")
     joined = joined.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a").select("a", "b", "x", "y")
     out = kept(joined.mapInArrow(_verify(width, percent), "a long, b long, far double, linked boolean"), "answers")
