@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import re
 import tempfile
 import uuid
 
@@ -26,12 +27,14 @@ def local_session(app: str = "annolith", cores: str = "8", **conf: str) -> Spark
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a folder of our own only where none is set."""
+    """The cluster's ``spark.checkpoint.dir``; where none is set, a temporary folder under a local master, an error elsewhere."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isEmpty():
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="annolith-"))
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
     return current.get().rstrip("/")
@@ -44,7 +47,7 @@ def kept(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/annolith/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.kept_path = path
     return out
