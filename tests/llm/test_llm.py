@@ -1,5 +1,6 @@
 """Operators of the subpackage against brute force, round trips and hard cases."""
 
+import hashlib
 import math
 import re
 import zlib
@@ -332,21 +333,63 @@ def test_url_rules(spark):
     assert [r.rule for r in split] == [r.rule for r in got]
 
 
-def test_fixity_locates_each_difference(spark):
-    pages = spark.range(5000).select(F.col("id").alias("page_id"), F.lit("http://x").alias("url"), F.concat(F.lit("body "), F.col("id").cast("string")).alias("html"))
-    pages = pages.union(spark.createDataFrame([(None, None, None), (None, None, None)], "page_id long, url string, html string"))
-    other = pages.where("page_id is null or page_id <> 4999").withColumn("html", F.when(F.col("page_id") == 77, "body 7X").otherwise(F.col("html")))
-    got = op8.audit(op8.leaves(pages), op8.leaves(other)).collect()
-    assert sorted((r.page_id, r.status) for r in got) == [(77, "corrupt"), (4999, "missing")]
-    assert op8.audit(op8.leaves(pages), op8.leaves(pages)).count() == 0 == op8.audit(op8.leaves(pages.limit(0)), op8.leaves(pages.limit(0))).count()
+def fixity_brute(left, right):
+    """Records of each archive in order of id and digest; of each id the differing ones paired in order."""
+    def side(rows):
+        out = {}
+        for i, url, body in rows:
+            rec = f"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:{'' if i is None else i}>\r\nWARC-Target-URI: {url or ''}\r\nContent-Length: {len((body or '').encode())}\r\n\r\n{body or ''}\r\n\r\n".encode()
+            digest = hashlib.sha256(rec).hexdigest()
+            out.setdefault(i // 4096 if i is not None else -1 - int(digest[:7], 16), []).append((i if i is not None else -1, digest, len(rec)))
+        for own in out.values():
+            own.sort()
+        return out
 
-
-def test_fixity_of_an_archive_of_many_records(spark):
-    rows = spark.range(70_000).select(F.lit(5).cast("long").alias("page_id"), F.lit("http://x").alias("url"), F.col("id").cast("string").alias("html"), F.col("id").alias("seq"))
-    sides = [op8.leaves(rows.drop("seq")).withColumn("leaf", F.when(F.col("seq").isin(hit), "other").otherwise(F.col("leaf"))) for hit in ([], [65_535, 65_552, 69_999])]
-    got = op8.audit(sides[0], sides[1].where("seq < 69999")).collect()
-    assert sorted((r.seq, r.status) for r in got) == [(65_535, "corrupt"), (65_552, "corrupt"), (69_999, "missing")]
-    assert op8.depth(*sides) == 5
+    a, b = side(left), side(right)
+    want = []
+    for archive in {*a, *b}:
+        found = []
+        for one, two in ((a, b), (b, a)):
+            count, at, rows = Counter(two.get(archive, [])), 0, []
+            for seq, r in enumerate(one.get(archive, [])):
+                if count[r]:
+                    count[r] -= 1
+                else:
+                    rows.append((r[0], seq, at, r[2]))
+                at += r[2]
+            found.append(rows)
+        for i in {r[0] for rows in found for r in rows}:
+            x, y = ([r for r in rows if r[0] == i] for rows in found)
+            n = min(len(x), len(y)) if i != -1 else 0
+            for kind, own in (("corrupt", x[:n]), ("missing", x[n:]), ("extra", y[n:])):
+                want += [(archive, seq, i if i != -1 else None, at, size, kind) for _, seq, at, size in own]
+    return sorted(want, key=str)
+
+
+def test_fixity_against_brute_force(spark):
+    rng = np.random.default_rng(5)
+    left = [(int(i), f"http://x/{i}", f"body é {i}") for i in range(0, 9000, 3)] + [(77, "u", f"copy {k}") for k in range(400)] + [(78, None, None)] * 5 + [(None, None, None), (None, "n", "1"), (None, "n", "1")]
+    right = [r for r in left if rng.random() > 0.01]
+    for _ in range(40):
+        k = int(rng.integers(0, len(right)))
+        i, url, body = right[k]
+        right[k] = (i, url, (body or "") + "?" * int(rng.integers(1, 4)))
+    right += [(4, "new", "x"), (8191, None, "y"), (77, "u", "copy 400"), (78, None, None), (50_000, "z", ""), (None, "n", "2")]
+    x, y = right[100], right[900]
+    right[100], right[900] = (x[0], y[1], y[2]), (y[0], x[1], x[2])
+    schema = "page_id long, url string, html string, part int, digest string"
+    frame = lambda rows: op8.records(spark.createDataFrame([(*r, 1, "d") for r in rows], schema))
+    got = sorted([(r.archive, r.seq, r.page_id, r.start, r.length, r.status) for r in op8.audit(frame(left), frame(right)).collect()], key=str)
+    assert got == fixity_brute(left, right) and {r[5] for r in got} == {"corrupt", "missing", "extra"}
+    assert op8.audit(frame(left), frame(list(reversed(left)))).count() == 0 == op8.audit(frame([]), frame([])).count()
+    assert op8.audit(frame(left[:9]), frame([])).where("status = 'missing'").count() == 9
+
+
+def test_fixity_of_an_id_with_many_records(spark):
+    rows = spark.range(70_000).select(F.lit(5).cast("long").alias("page_id"), F.lit("http://x").alias("url"), F.col("id").cast("string").alias("html"), F.col("id").alias("k"))
+    other = rows.where("k <> 69999").withColumn("html", F.when(F.col("k").isin(65_535, 12), F.concat("html", F.lit("!"))).otherwise(F.col("html")))
+    got = op8.audit(op8.records(rows), op8.records(other)).collect()
+    assert sorted(r.status for r in got) == ["corrupt", "corrupt", "missing"] and {r.page_id for r in got} == {5}
 
 
 def test_preferences_round_trip(spark):
