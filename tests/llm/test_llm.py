@@ -135,7 +135,33 @@ def test_nearest_neighbours(spark):
         assert np.allclose(own.score, (unit[own.vec_id] * unit[q]).sum(1))
     assert sorted(got.query_id.unique()) == list(range(0, 600, 50)) and hit >= 0.9 * 60
     assert list(got[got.query_id == 0].sort_values("rank").vec_id) == [100, 101, 102, 103, 104]
-    assert op2.search(df.limit(0)).count() == 0 and op2.search(df.where("vec_id < 3")).count() == 2
+    assert op2.search(df.limit(0)).count() == 0 == op2.search(df.where("vec_id = 50")).count() and op2.search(df.where("vec_id < 3")).count() == 2
+
+
+def test_nearest_neighbours_of_repeats_extreme_norms_and_other_lengths(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(300, 8))
+    rows = [(i, v) for i, v in enumerate(x)] + [(i, x[i]) for i in (0, 50, 7, 7, 7, 7, 7, 9, 11)]
+    rows += [(1001, x[0] * 1e-200), (1002, x[0] * 1e200), (1003, x[0] * 5e-308), (1004, x[50] * -1e300), (9, -x[0]), (100, x[100])]
+    short = [(2000 + i, rng.normal(size=3)) for i in range(4)]
+    got = op2.search(spark.createDataFrame([(int(i), v.tolist()) for i, v in rows + short], "vec_id long, embedding array<double>")).collect()
+
+    def want(q, own):
+        score = {}
+        for i, v in own:
+            if i != q:
+                a, b = np.longdouble(v) / np.abs(v).max(), np.longdouble(dict(own)[q])
+                score[i] = max(score.get(i, -2), float((a * b).sum() / np.sqrt((a * a).sum() * (b * b).sum())))
+        return sorted(score.items(), key=lambda s: (-round(s[1], 12), s[0]))[:5]
+
+    for q in range(0, 300, 50):
+        mine = sorted((r.rank, r.vec_id, r.score) for r in got if r.query_id == q)
+        best = want(q, rows)
+        assert len({m[1] for m in mine}) == 5 and sum(m[1] in dict(best) for m in mine) >= 4
+        assert all(abs(m[2] - dict(want_all).get(m[1])) < 1e-9 for want_all in [dict(best)] for m in mine if m[1] in want_all)
+    assert {r.vec_id for r in got if r.query_id == 0} >= {1001, 1002, 1003}
+    assert all(abs(r.score - 1) < 1e-12 for r in got if r.query_id == 0 and r.vec_id in (1001, 1002, 1003))
+    assert sorted((r.rank, r.vec_id) for r in got if r.query_id == 2000) == [(k + 1, i) for k, (i, _) in enumerate(want(2000, short))]
 
 
 def test_maxent_base_against_brute_force_and_held_out(spark):
