@@ -28,22 +28,29 @@ def merge(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def subtract(windows: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
-    """What is left of each window (keys, lo, hi) without the merged, disjoint ranges ``done``; O(ranges), not O(items)."""
-    packed = done.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("_r"))
-    both = windows.join(packed, keys, "left")
-    ranges = F.coalesce(F.col("_r"), F.array().cast("array<struct<lo:bigint,hi:bigint>>"))
-    starts = F.concat(F.array("lo"), F.transform(ranges, lambda r: r["hi"] + 1))
-    ends = F.concat(F.transform(ranges, lambda r: r["lo"] - 1), F.array("hi"))
-    gaps = F.zip_with(starts, ends, lambda a, b: F.struct(F.greatest(a, F.col("lo")).alias("lo"), F.least(b, F.col("hi")).alias("hi")))
-    gaps = F.filter(gaps, lambda g: g["lo"] <= g["hi"])
-    return both.select(*keys, F.explode(gaps).alias("_g")).select(*keys, "_g.lo", "_g.hi")
+    """What is left of each window (keys, lo, hi) without the merged, disjoint ranges ``done``; O(ranges), not O(items).
+
+    A window's ranges are sorted, never gathered: each gives the gap before it, the last also the one behind it. Windows without
+    ranges are left whole; empty windows give nothing.
+    """
+    ranges = done.where("lo <= hi").select(*keys, F.col("lo").alias("_a"), F.col("hi").alias("_b"))
+    both = windows.where("lo <= hi").join(ranges, keys, "left")
+    order = Window.partitionBy(*keys, "lo", "hi").orderBy("_a")
+    before, behind = F.lag("_b").over(order) + 1, F.lead("_a").over(order)
+    both = both.withColumns({"_from": F.coalesce(before, "lo"), "_last": behind.isNull()})
+    gap = lambda a, b: F.struct(F.greatest(a, F.col("lo")).alias("lo"), F.least(b, F.col("hi")).alias("hi"))
+    first = gap(F.col("_from"), F.coalesce(F.col("_a") - 1, "hi"))
+    gaps = F.when(F.col("_last") & F.col("_b").isNotNull(), F.array(first, gap(F.col("_b") + 1, F.col("hi")))).otherwise(F.array(first))
+    return both.select(*keys, F.explode(F.filter(gaps, lambda g: g["lo"] <= g["hi"])).alias("_g")).select(*keys, "_g.lo", "_g.hi")
 
 
 def cardinality(df: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, n_items) of disjoint ranges; keys without ranges have no row, inverted ranges are the caller's to drop."""
     return df.groupBy(*keys).agg(F.sum(F.col("hi") - F.col("lo") + 1).alias("n_items"))
 
 
 def shift(df: DataFrame, by: Column) -> DataFrame:
+    """Both ends moved by a number; null ends stay null."""
     return df.withColumns({"lo": F.col("lo") + by, "hi": F.col("hi") + by})
 
 
@@ -54,14 +61,21 @@ def clamp(df: DataFrame, low: Column, high: Column) -> DataFrame:
 
 
 def items(df: DataFrame, keys: list[str], name: str = "item_index") -> DataFrame:
+    """A row for each index of each range, repeated where ranges overlap; inverted ranges must be dropped before."""
     return df.select(*keys, F.explode(F.sequence("lo", "hi")).alias(name))
 
 
 def chunks(total: DataFrame, size: int) -> DataFrame:
-    """(chunk_id, lo, hi) of the items 0 to total - 1; ``total`` has one row with the column ``total``."""
-    ids = total.where("total > 0").select("total", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("total") - 1) / size).cast("long"))).alias("chunk_id"))
+    """(chunk_id, lo, hi) of the items 0 to total - 1, dealt out from the start; ``total`` has one row with the column ``total``, null and 0 give none."""
+    n = total.first().total or 0
     lo = F.col("chunk_id") * size
-    return ids.select("chunk_id", lo.alias("lo"), (F.least(lo + size, "total") - 1).alias("hi"))
+    ids = total.sparkSession.range(-(-n // size)).withColumnRenamed("id", "chunk_id")
+    return ids.select("chunk_id", lo.alias("lo"), (F.least(lo + size, F.lit(n).cast("long")) - 1).alias("hi"))
+
+
+def in_chunk(index: Column, start: Column, size: Column) -> Column:
+    """Whether an index lies in a chunk; indices outside are dropped by a scan, moved by :func:`clamp`."""
+    return index.between(start, start + size - 1)
 
 
 def split_units(gaps: DataFrame, keys: list[str], *, ratio: float = 0.5, gap: int = 100) -> DataFrame:

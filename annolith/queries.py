@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from annolith.functions import text as T
 from annolith.operators import analytics as A
+from annolith.operators import chunks as C
 from annolith.operators import ingest as G
 from annolith.operators import intervals as I
 from annolith.plans import stages as S
@@ -429,11 +430,18 @@ def _raw(spark, sf_dir):
 
 
 _OPENERS = "(?i)^(?:" + "|".join(T.OPENERS) + ")"
-_CLEAN = rf"""SELECT id, CASE WHEN c = '' OR regexp_matches(c, '[.!?]\z') THEN c ELSE c || '.' END AS c FROM (
+
+
+def _clean_sql(raw):
+    """Cleaned captions of a query for (id, c)."""
+    return rf"""SELECT id, CASE WHEN c = '' OR regexp_matches(c, '[.!?]\z') THEN c ELSE c || '.' END AS c FROM (
 SELECT id, regexp_replace(regexp_replace(c, '^{T.WS}+|{T.WS}+\z', '', 'g'), '{T.WS}+', ' ', 'g') AS c FROM (
 SELECT id, CASE WHEN regexp_matches(c, '(?i)^an? ') AND rest <> '' AND NOT regexp_matches(rest, '^\p{{Lu}}') THEN upper(rest[1]) || rest[2:] ELSE c END AS c FROM (
 SELECT id, c, regexp_extract(c, '(?is)^an? {T.WS}*(.*)$', 1) AS rest FROM (
-SELECT id, CASE WHEN regexp_matches(c, '{_OPENERS}') THEN upper(regexp_replace(c, '{_OPENERS}', '')[1]) || regexp_replace(c, '{_OPENERS}', '')[2:] ELSE c END AS c FROM ({_RAW})))))"""
+SELECT id, CASE WHEN regexp_matches(c, '{_OPENERS}') THEN upper(regexp_replace(c, '{_OPENERS}', '')[1]) || regexp_replace(c, '{_OPENERS}', '')[2:] ELSE c END AS c FROM ({raw})))))"""
+
+
+_CLEAN = _clean_sql(_RAW)
 
 
 @query(f"SELECT id, md5(c) AS clean_md5, length(c) AS n FROM ({_CLEAN})")
@@ -450,7 +458,25 @@ def caption_validate(spark, sf_dir):
     return _raw(spark, sf_dir).select("id", T.validate_caption(F.col("c")).alias("valid"))
 
 
-@query()
+def _combine_sql():
+    """The fold over the groups, a step for each."""
+    words = lambda c: f"string_split_regex(regexp_replace(lower({c}), '^{T.WS}+|{T.WS}+$', '', 'g'), '{T.WS}+')"
+    group = "CASE " + " ".join(f"WHEN {' OR '.join(f"contains(lower(text), '{k}')" for k in keys)} THEN '{g}'" for g, keys in T.GROUPS.items()) + " ELSE 'details' END"
+    heads = "|".join(T.HEADS)
+    steps = [f"""WITH raw AS (SELECT row_number() OVER (ORDER BY conv_id, text) AS id, conv_id, text FROM conversations),
+clean AS ({_clean_sql("SELECT id, text AS c FROM raw")}),
+r AS (SELECT raw.id, conv_id, text, clean.c AS line, {group} AS g, {words("text")} AS w, length(text) > 10 AND NOT (regexp_matches(regexp_replace(lower(text), '^{T.WS}+', ''), '^(?:{heads})') AND len({words("text")}) < 8) AS ok FROM raw JOIN clean USING (id)),
+u AS (SELECT * FROM r QUALIFY ok OR (NOT bool_or(ok) OVER (PARTITION BY conv_id) AND row_number() OVER (PARTITION BY conv_id ORDER BY length(text) DESC, id) = 1)),
+f AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY conv_id, g ORDER BY id) = 1),
+s0 AS (SELECT conv_id, [line] AS lines, {words("line")} AS seen FROM u QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY length(text) DESC, id) = 1)"""]
+    for k, g in enumerate(T.WRITTEN):
+        steps.append(f"""s{k + 1} AS (SELECT conv_id, CASE WHEN ok THEN list_append(lines, line) ELSE lines END AS lines, CASE WHEN ok THEN list_concat(seen, w) ELSE seen END AS seen FROM (
+SELECT s.*, f.line, f.w, coalesce(f.line <> '' AND NOT list_contains(s.lines, f.line) AND len(list_filter(f.w, lambda x: length(x) > 3 AND NOT list_contains(s.seen, x))) > 3, false) AS ok
+FROM s{k} s LEFT JOIN f ON f.conv_id = s.conv_id AND f.g = '{g}'))""")
+    return ",\n".join(steps) + f"\nSELECT conv_id, array_to_string(lines, chr(10)) AS combined FROM s{len(T.WRITTEN)}"
+
+
+@query(_combine_sql())
 def caption_combine(spark, sf_dir):
     texts = F.flatten(F.map_values("outputs"))
     return _narrow(spark, sf_dir).select("conv_id", T.combine(F.array_sort(texts)).alias("combined"))
@@ -535,7 +561,7 @@ def csv_flatten(spark, sf_dir):
     return G.wide(_narrow(spark, sf_dir), fields).select("conv_id", F.md5(flat_list(every)).alias("flat_md5"))
 
 
-@query()
+@query("SELECT conv_id, CAST(to_json({'conv_id': conv_id, 'assistant': list(text ORDER BY turn, text) FILTER (WHERE role = 'assistant'), 'user': list(text ORDER BY turn, text) FILTER (WHERE role = 'user')}) AS VARCHAR) AS line FROM conversations GROUP BY conv_id")
 def jsonl_export(spark, sf_dir):
     from annolith.sources.export import json_line
 
@@ -552,8 +578,144 @@ def webshart_map(spark, sf_dir):
     return out.select("key", F.element_at("captions", 1).cast("long").alias("page_id"))
 
 
-@query()
+@query("SELECT CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS hour, event_type, count(*) AS n FROM events GROUP BY ALL")
 def stream_progress(spark, sf_dir):
     from annolith.streaming.ingest import progress
 
-    return progress(table(spark, sf_dir, "events"))
+    return progress(table(spark, sf_dir, "events")).select(F.unix_seconds("hour").alias("hour"), "event_type", "n")
+
+
+# ---------------------------------------------------------------- chunk log
+
+
+_LOG = """SELECT doc_id // 100 AS chunk_id, 0 AS seq, 'add' AS event, CAST(NULL AS VARCHAR) AS worker FROM documents WHERE doc_id % 100 = 0
+UNION ALL SELECT event_id % 37, event_id + 1, CASE event_type WHEN 'view' THEN 'assign' WHEN 'purchase' THEN 'complete' WHEN 'error' THEN 'fail' WHEN 'signup' THEN 'release' ELSE event_type END, 'w' || user_id % 5 FROM events"""
+_STATES = f"""WITH log AS ({_LOG}), known AS (SELECT * FROM log WHERE event IN ('add', 'assign', 'complete', 'fail', 'release')),
+last AS (SELECT chunk_id, arg_max(event, seq) AS event, arg_max(coalesce(worker, '-'), seq) AS worker, count(*) FILTER (WHERE event = 'assign') AS n_assigned, bool_or(event = 'complete') AS was_completed, bool_or(event = 'add') AS added FROM known GROUP BY chunk_id)
+SELECT chunk_id, CASE event WHEN 'assign' THEN 'assigned' WHEN 'complete' THEN 'completed' WHEN 'fail' THEN 'failed' ELSE 'pending' END AS status, CASE WHEN event IN ('assign', 'complete') THEN worker END AS worker, n_assigned, was_completed FROM last WHERE added"""
+
+
+def _states(spark, sf_dir):
+    added = table(spark, sf_dir, "documents").where("doc_id % 100 = 0").select(I.chunk_of(F.col("doc_id"), 100).alias("chunk_id"), F.lit(0).cast("long").alias("seq"), F.lit("add").alias("event"), F.lit(None).cast("string").alias("worker"))
+    named = F.when(F.col("event_type") == "view", "assign").when(F.col("event_type") == "purchase", "complete").when(F.col("event_type") == "error", "fail").when(F.col("event_type") == "signup", "release").otherwise(F.col("event_type"))
+    events = table(spark, sf_dir, "events").select((F.col("event_id") % 37).alias("chunk_id"), (F.col("event_id") + 1).alias("seq"), named.alias("event"), F.concat(F.lit("w"), (F.col("user_id") % 5).cast("string")).alias("worker"))
+    return C.chunk_states(added.union(events))
+
+
+@query(_STATES)
+def chunk_states(spark, sf_dir):
+    return _states(spark, sf_dir)
+
+
+@query(f"SELECT chunk_id, CASE WHEN status = 'assigned' AND worker = 'w1' THEN 'pending' ELSE status END AS status, CASE WHEN status = 'assigned' AND worker = 'w1' THEN NULL ELSE worker END AS worker FROM ({_STATES})")
+def chunks_released(spark, sf_dir):
+    return C.released(_states(spark, sf_dir), "w1").select("chunk_id", "status", "worker")
+
+
+@query(f"SELECT chunk_id % 4 AS shard, count(*) AS n_chunks, count(*) FILTER (WHERE status = 'pending') AS n_pending, bool_and(status = 'completed') AS is_complete FROM ({_STATES}) GROUP BY 1")
+def shard_completion(spark, sf_dir):
+    return C.shard_completion(_states(spark, sf_dir), F.col("chunk_id") % 4)
+
+
+@query(f"SELECT count(*) AS total, " + ", ".join(f"count(*) FILTER (WHERE status = '{s}') AS {s}" for s in ("pending", "assigned", "completed", "failed")) + f", count(DISTINCT worker) FILTER (WHERE status = 'assigned') AS workers FROM ({_STATES})")
+def processor_stats(spark, sf_dir):
+    return C.processor_stats(_states(spark, sf_dir))
+
+
+@query("SELECT DISTINCT doc_id // 100 AS chunk_id FROM documents WHERE doc_id // 100 NOT IN (SELECT doc_id // 100 FROM labels WHERE quality = 0)")
+def add_chunks(spark, sf_dir):
+    chunk = I.chunk_of(F.col("doc_id"), 100).alias("chunk_id")
+    return C.add_chunks(table(spark, sf_dir, "labels").where("quality = 0").select(chunk), table(spark, sf_dir, "documents").select(chunk))
+
+
+@query("SELECT source AS shard, doc_id // 100 AS chunk, count(*) AS n_jobs, min(doc_id) AS lowest, max(doc_id) AS highest FROM documents WHERE doc_id % 3 = 0 GROUP BY ALL")
+def jobs_by_chunk(spark, sf_dir):
+    good = T.job_id(F.col("source"), I.chunk_of(F.col("doc_id"), CHUNK), F.col("doc_id"))
+    raw = F.when(F.col("doc_id") % 3 == 0, good).otherwise(F.concat("source", F.lit(":chunk:x:idx:5")))
+    return C.jobs_by_chunk(table(spark, sf_dir, "documents").select(T.parse_job_id(raw).alias("p")))
+
+
+@query("""WITH c AS (SELECT doc_id // 500 AS shard, doc_id // 10 * 10 - doc_id // 500 * 500 AS start, 10 AS size FROM labels GROUP BY ALL),
+e AS (SELECT *, lag(start + size, 1, 0) OVER (PARTITION BY shard ORDER BY start) AS expected FROM c)
+SELECT shard, count(*) AS n_gaps, string_agg('chunk at ' || start || ', expected ' || expected, chr(10) ORDER BY start) AS report FROM e WHERE start <> expected GROUP BY shard""")
+def gap_report(spark, sf_dir):
+    return C.gap_report(sparse_shards(spark, sf_dir))
+
+
+@query("SELECT event_id, gap >= 10 OR event_id % 100 >= 50 AS shown FROM (SELECT event_id, coalesce(epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY event_id), 0) / 1e6 AS gap FROM events)")
+def log_gate(spark, sf_dir):
+    from pyspark.sql import Window
+
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    gap = F.coalesce(micros - F.lag(micros).over(Window.partitionBy("user_id").orderBy("event_id")), F.lit(0)) / 1e6
+    return table(spark, sf_dir, "events").withColumn("gap", gap).select("event_id", C.log_gate(F.col("gap"), F.col("event_id") % 100).alias("shown"))
+
+
+# ---------------------------------------------------------------- values and stores
+
+
+@query("SELECT event_id, epoch_us(ts) AS micros FROM events UNION ALL SELECT -1 - event_id, CASE WHEN event_id % 2 = 0 THEN epoch_us(ts) // 1000000 * 1000000 - 7200000000 END FROM events")
+def iso_times(spark, sf_dir):
+    # Plain and with Z; negative ids: with an offset, and what is no time.
+    e = table(spark, sf_dir, "events").withColumn("t", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    plain = e.select("event_id", F.concat("t", F.when(F.col("event_id") % 2 == 0, "Z").otherwise("")).alias("s"))
+    other = e.select((-1 - F.col("event_id")).alias("event_id"), F.when(F.col("event_id") % 2 == 0, F.concat(F.substring("t", 1, 19), F.lit("+02:00"))).otherwise(F.concat(F.lit("at "), "t")).alias("s"))
+    return plain.union(other).select("event_id", F.unix_micros(T.iso_time(F.col("s"))).alias("micros"))
+
+
+@query("SELECT conv_id, turn, md5(text) AS first_md5, CAST(CASE turn % 3 WHEN 2 THEN 1 ELSE 2 END AS BIGINT) AS n FROM conversations WHERE trim(text) <> '' AND text NOT LIKE '[%'")
+def value_extraction(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").where("trim(text) <> '' and text not like '[%'")
+    many = F.array("text", F.lit(" "), F.lit(None).cast("string"), F.lit("second"))
+    raw = F.when(F.col("turn") % 3 == 2, F.col("text")).otherwise(F.to_json(many))
+    found = F.when(F.col("turn") % 3 == 0, T.caption_values(many, "array<string>")).otherwise(T.caption_values(raw, "string"))
+    return rows.select("conv_id", "turn", F.md5(found[0]).alias("first_md5"), F.size(found).cast("long").alias("n"))
+
+
+@query("SELECT conv_id, CASE WHEN count(*) > 2 THEN string_agg(turn, ',' ORDER BY turn) FILTER (WHERE nth <= 2) || ',... and ' || count(*) - 2 || ' more' ELSE string_agg(turn, ',' ORDER BY turn) END AS shown FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS nth FROM conversations) GROUP BY conv_id")
+def list_shortened(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list("turn")).cast("array<string>").alias("t"))
+    return turns.select("conv_id", F.array_join(T.shortened(F.col("t"), 2), ",").alias("shown"))
+
+
+@query("""SELECT doc_id, CASE WHEN n_chars % 900 + 1000 <= 1450 THEN 1.0 WHEN n_chars % 900 + 490.0 <= 1450 THEN 0.7 WHEN n_chars % 900 + 250.0 <= 700 THEN 0.5 END AS ratio FROM (SELECT * FROM documents) WHERE n_chars IS NOT NULL""".replace("<= 700", "<= 1450"))
+def retry_sizes(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").where("n_chars is not null")
+    return docs.select("doc_id", T.retry_size(F.lit(640), F.lit(480), F.col("n_chars") % 900, F.lit(1000.0), 1500)["ratio"].alias("ratio"))
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id IN (SELECT doc_id FROM labels) OR doc_id % 7 = 0")
+def all_job_ids(spark, sf_dir):
+    return G.known_ids(table(spark, sf_dir, "labels"), table(spark, sf_dir, "documents").where("doc_id % 7 = 0"), "doc_id").join(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", "left_semi")
+
+
+@query("SELECT doc_id, source FROM documents WHERE source IN (SELECT source FROM documents GROUP BY source ORDER BY source LIMIT 2)")
+def shard_filter(spark, sf_dir):
+    from annolith.sources.readers import only_shards
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    known = [r.source for r in docs.select("source").distinct().orderBy("source").collect()]  # names of shards
+    return only_shards(docs, known, [*known[:2], "unknown"], "source")[0]
+
+
+@query("SELECT lang, count(*) AS n FROM documents WHERE n_chars > 100 GROUP BY lang")
+def captions_sql(spark, sf_dir):
+    from annolith.sources.readers import caption_view
+
+    caption_view(spark, f"{sf_dir}/documents.parquet", "captions_of_documents")
+    return spark.sql("SELECT lang, count(*) AS n FROM captions_of_documents WHERE n_chars > 100 GROUP BY lang")
+
+
+@query("SELECT doc_id FROM documents WHERE lang = 'en' AND source = (SELECT min(source) FROM documents)")
+def predicate_scan(spark, sf_dir):
+    from annolith.sources.readers import matching
+
+    docs = table(spark, sf_dir, "documents")
+    return matching(docs, lang="en", source=docs.agg(F.min("source")).first()[0]).select("doc_id")
+
+
+@query("SELECT doc_id, row_number() OVER () - 1 AS nth FROM documents QUALIFY nth < 0 UNION ALL SELECT doc_id, doc_id FROM documents")
+def numbered_rows(spark, sf_dir):
+    from annolith.sources.readers import numbered
+
+    return numbered(table(spark, sf_dir, "documents"), "nth").select("doc_id", "nth")

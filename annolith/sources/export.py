@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import json
+import logging
 import os
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 FORMATS = ("jsonl", "csv", "parquet", "json", "txt")
@@ -44,7 +45,10 @@ def csv_ready(df: DataFrame, outputs: list[str]) -> DataFrame:
 
 
 def write(df: DataFrame, target: str, form: str, *, outputs: list[str] = (), content: str | None = None, name: Column | None = None) -> int:
-    """Write all rows to ``target``; the number of rows written."""
+    """Write all rows to ``target``; the number of rows written, counted on the way."""
+    observed = Observation()
+    if form not in ("json", "txt"):
+        df = df.observe(observed, F.count(F.lit(1)).alias("n"))
     if form == "jsonl":
         df.select(json_line(df).alias("value")).write.text(target)
     elif form == "csv":
@@ -55,7 +59,39 @@ def write(df: DataFrame, target: str, form: str, *, outputs: list[str] = (), con
         return _row_files(df, target, form, content, name)
     else:
         raise ValueError(f"unknown format {form}")
-    return df.count()
+    return observed.get["n"]
+
+
+def selected(df: DataFrame, columns: list[str] | None = None, *, limit: int | None = None, filled: str | None = None, order: str = "job_id") -> DataFrame:
+    """What an export writes: some columns (unknown names are an error), rows in which ``filled`` has a value that is no empty list, the first ``limit`` by ``order`` (None and 0: all)."""
+    if unknown := [c for c in columns or [] if c not in df.columns]:
+        raise ValueError(f"no such columns: {unknown}")
+    if filled:
+        c = F.col(f"`{filled}`")
+        df = df.where(F.size(c) > 0 if dict(df.dtypes)[filled].startswith("array") else c.isNotNull())
+    if limit:
+        df = df.orderBy(order).limit(limit)
+    return df.select(*[f"`{c}`" for c in columns]) if columns else df
+
+
+def export_all(df: DataFrame, target: str, *, forms: tuple[str, ...] = FORMATS, **how) -> dict[str, int]:
+    """Rows written in each format, to ``target/<format>``; a format that fails counts 0 and the others go on."""
+    done = {}
+    for form in forms:
+        try:
+            done[form] = write(df, os.path.join(target, form), form, **how)
+        except Exception as e:  # one format's failure is reported, as 0 rows, and does not end the others
+            logging.getLogger(__name__).warning("export as %s failed: %s", form, e)
+            done[form] = 0
+    return done
+
+
+def export_shards(shards: dict[str, DataFrame], target: str, form: str, **how) -> dict[str, int]:
+    """Rows written of each shard, to the path that :func:`shard_path` gives; a single shard goes to ``target`` itself."""
+    if len(shards) == 1:
+        ((name, rows),) = shards.items()
+        return {name: write(rows, target, form, **how)}
+    return {name: write(rows, shard_path(target, name, form), form, **how) for name, rows in shards.items()}
 
 
 def _row_files(df: DataFrame, target: str, form: str, content: str | None, name: Column) -> int:
@@ -109,3 +145,30 @@ def dataset_card(name: str, n_rows: int, category: str, fields: dict[str, int],
 def compact(df: DataFrame, target: str, files: int) -> None:
     """Rewrite a store in fewer files, beside the old one; the caller swaps them."""
     df.coalesce(files).write.mode("errorifexists").parquet(target)
+
+
+def stem_collisions(df: DataFrame, name: Column) -> DataFrame:
+    """(name, n) of names that several rows share, whose files would overwrite each other."""
+    return df.groupBy(name.alias("name")).agg(F.count("*").alias("n")).where("n > 1 and name is not null")
+
+
+def keyed_value(kind: str, name: str) -> Column:
+    """A caption column for :func:`keyed_captions`: a text as a list of one, a list as it is; other types are an error."""
+    if kind == "string":
+        return F.array(name)
+    if kind == "array<string>":
+        return F.col(name)
+    raise TypeError(f"no captions in a column of type {kind}")
+
+
+def swap_in(spark, written: str, target: str) -> None:
+    """Put a compacted store in the place of the old one, which stays beside it until the new one stands, and then goes."""
+    path = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
+    files = path(target).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    old = f"{target}.old"
+    if files.exists(path(target)) and not files.rename(path(target), path(old)):
+        raise OSError(f"cannot move {target}")
+    if not files.rename(path(written), path(target)):
+        files.rename(path(old), path(target))
+        raise OSError(f"cannot move {written}")
+    files.delete(path(old), True)
