@@ -622,10 +622,10 @@ def processor_stats(spark, sf_dir):
     return C.processor_stats(_states(spark, sf_dir))
 
 
-@query("SELECT DISTINCT doc_id // 100 AS chunk_id FROM documents WHERE doc_id // 100 NOT IN (SELECT doc_id // 100 FROM labels WHERE quality = 0)")
+@query("SELECT DISTINCT doc_id // 100 AS chunk_id FROM documents WHERE doc_id // 100 NOT IN (SELECT doc_id // 100 FROM labels WHERE doc_id // 100 % 3 = 1)")
 def add_chunks(spark, sf_dir):
     chunk = I.chunk_of(F.col("doc_id"), 100).alias("chunk_id")
-    return C.add_chunks(table(spark, sf_dir, "labels").where("quality = 0").select(chunk), table(spark, sf_dir, "documents").select(chunk))
+    return C.add_chunks(table(spark, sf_dir, "labels").select(chunk).where("chunk_id % 3 = 1"), table(spark, sf_dir, "documents").select(chunk))
 
 
 @query("SELECT source AS shard, doc_id // 100 AS chunk, count(*) AS n_jobs, min(doc_id) AS lowest, max(doc_id) AS highest FROM documents WHERE doc_id % 3 = 0 GROUP BY ALL")
