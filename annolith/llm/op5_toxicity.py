@@ -138,7 +138,7 @@ def fit_toxicity(
     all buckets whose log-likelihood gain for confirmed texts, from document frequencies over all texts, reaches
     ``least_gain``; the number of buckets bounds what the driver holds. Null labels and ids are passed over; of repeated
     labels of an id the largest counts. Without a confirmed toxic text, or without any other, every text scores the prior
-    (0.5 without labels).
+    (nought, as far as a logistic goes, without labels).
     """
     spark = documents.sparkSession
     known = (
@@ -150,7 +150,7 @@ def fit_toxicity(
     )
     n, positive = known.agg(F.count("*"), F.sum((F.col("y") == 1).cast("long"))).first()
     if not n or not positive or n == positive:
-        rate = 0.5 if not n else (positive or 0) / n
+        rate = (positive or 0) / n if n else 0.0
         return ToxicityModel(float(np.log(max(rate, 1e-6) / max(1 - rate, 1e-6))), np.zeros(BUCKETS))
     prior = positive / n
     flat = ToxicityModel(float(np.log(prior / (1 - prior))), np.zeros(BUCKETS))

@@ -95,8 +95,8 @@ def url_filter(
 
     Null, malformed and empty URLs have empty host and path, no rule and the verdict ``otherwise``, as has every URL that no
     rule fits. Repeated rows are judged one by one; other columns are not read; an empty table gives no rows. Tries of
-    ``block_rules`` rules are broadcast, a bound on what an executor holds at once: a longer list makes several tries, of
-    which a row takes the longest match.
+    ``block_rules`` rules are broadcast, a bound on each one that is sent; a longer list makes several tries, of which a row takes the
+    longest match, and a worker that has read them holds them all, so the list as a whole must fit into a worker.
     """
     sc = pages.sparkSession.sparkContext
     rules = list(dict(((h.translate(LOWERED), p), (v, h, p)) for v, h, p in rules).values())

@@ -46,17 +46,17 @@ def format_preferences(pairs: DataFrame, *, id_col: str = "pair_id", chosen_col:
         turns = F.coalesce(F.col(c), F.array().cast("array<struct<role:string,text:string>>"))
         return F.transform(turns, lambda t: F.struct(F.coalesce(t["role"], F.lit("user")).alias("role"), F.coalesce(t["text"], F.lit("")).alias("text")))
 
-    rows = pairs.select(F.col(id_col), clean(chosen_col).alias("c"), clean(rejected_col).alias("r"))
-    rows = rows.withColumn("common", common_turns(F.col("c"), F.col("r")))
-    after = {s: F.slice(F.col(s), F.col("common") + 1, F.greatest(F.size(s) - F.col("common"), F.lit(0))) for s in ("c", "r")}
+    rows = pairs.select(F.col(id_col).alias("_id"), clean(chosen_col).alias("_c"), clean(rejected_col).alias("_r"))
+    rows = rows.withColumn("_n", common_turns(F.col("_c"), F.col("_r")))
+    after = {s: F.slice(F.col(s), F.col("_n") + 1, F.greatest(F.size(s) - F.col("_n"), F.lit(0))) for s in ("_c", "_r")}
     return rows.select(
-        id_col,
-        "common",
-        render(F.slice("c", F.lit(1), F.col("common"))).alias("prompt"),
-        render(after["c"]).alias("chosen"),
-        render(after["r"]).alias("rejected"),
-        mask(after["c"]).alias("chosen_mask"),
-        mask(after["r"]).alias("rejected_mask"),
+        F.col("_id").alias(id_col),
+        F.col("_n").alias("common"),
+        render(F.slice("_c", F.lit(1), F.col("_n"))).alias("prompt"),
+        render(after["_c"]).alias("chosen"),
+        render(after["_r"]).alias("rejected"),
+        mask(after["_c"]).alias("chosen_mask"),
+        mask(after["_r"]).alias("rejected_mask"),
     )
 
 

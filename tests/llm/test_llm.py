@@ -425,6 +425,8 @@ def test_preferences_round_trip(spark):
     assert got[1].common == 1 and got[1].prompt + got[1].rejected == "<|im_start|>user\nq<|im_end|>\n<|im_start|>assistant\nbad!<|im_end|>\n"
     assert "".join(c for c, m in zip(got[1].chosen, got[1].chosen_mask) if m == "1") == "good<|im_end|>\n"
     assert (got[2].common, got[2].prompt, got[2].chosen) == (0, "", "") and got[3].chosen == got[4].prompt == ""
+    named = op9.format_preferences(spark.createDataFrame(rows, f"c long, chosen {turn}, rejected {turn}").withColumnRenamed("c", "r"), id_col="r").collect()
+    assert sorted(r.r for r in named) == [1, 2, 3, 4]
     talk = spark.createDataFrame([(2, 0, "user", "a"), (2, 1, "assistant", "x"), (3, 1, "assistant", "y"), (None, 0, "user", "z"), (8, 0, None, None)], "conv_id long, turn long, role string, text string")
     sides = {r.pair_id: r for r in op9.format_preferences(op9.swapped_pairs(talk)).collect()}
     assert set(sides) == {2, 3, 8} and "y" in sides[2].rejected and sides[8].common == 1
@@ -488,6 +490,21 @@ def test_pipeline_stages(spark):
     assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == sorted(joined.component_id.unique()) and kept.columns == docs_.columns
 
 
+def test_pipeline_stages_keep_columns_and_rows_of_every_kind(spark, tmp_path):
+    import corpus_pipeline as pipeline
+
+    item = "The quick brown fox jumps over the lazy dog while seven wizards watch from the old stone bridge."
+    spark.createDataFrame([(7, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(k, 0, int(k == 6)) for k in range(8)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    d = docs(spark, [(None, "words without an id"), (None, None), (1, ""), (1, ""), (2, "clean and calm prose about rivers"), (2, "other clean prose about stones and hills"), (3, LONG)])
+    for name, stage in pipeline.STAGES[:-1]:
+        out = stage(spark, d, str(tmp_path))
+        assert out.columns == d.columns and out.count() == d.count(), name
+        assert stage(spark, docs(spark, []), str(tmp_path)).count() == 0, name
+    name, last = pipeline.STAGES[-1]
+    assert last(spark, d, str(tmp_path)).where("piece = 0").count() == d.count() and last(spark, docs(spark, []), str(tmp_path)).count() == 0
+
+
 def test_pipeline_stages_judge_rows_not_ids(spark, tmp_path):
     item = "The quick brown fox jumps over the lazy dog while seven wizards watch from the old stone bridge."
     spark.createDataFrame([(7, item), (8, "another item of the benchmark that stands in a block of its own, as blocks may be small")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
