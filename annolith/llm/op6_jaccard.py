@@ -24,8 +24,8 @@ from annolith.session import discard, kept, sweep
 
 #: Frequent tokens that are ordered by frequency; a bound on what is broadcast (16 bytes each), without effect on results.
 FREQUENT = 1 << 18
-#: Entries of a frequent token's list that go to one part; later rounds join the parts of a list.
-PART = 20_000
+#: Entries of a frequent token's list that go to one part; later rounds let the parts of a list meet one by one.
+PART = 4_000
 #: Bytes of text taken apart at once; tokens among which a task looks for repeated ones.
 PIECE, WINDOW = 2 << 20, 2_500_000
 ENTRY = ("token", "part", "node", "size", "place")
@@ -189,13 +189,13 @@ def _lists(percent: int, block: int):
         ok = ok[_near(lead["size"][ok], lead["place"][ok], rows["size"][ok], rows["place"][ok], percent)]
         pairs = np.unique(np.stack([lead["node"][ok], rows["node"][ok]], 1), axis=0)
         more = np.repeat(length > 2, length) | split
-        for kind, a, b, token, size, place in (
-            (0, pairs[:, 0], pairs[:, 1], *[np.zeros(len(pairs), t) for t in (np.int64, np.int32, np.int32)]),
-            (1, lead["node"][more], *[rows[c][more] for c in ("node", "token", "size", "place")]),
+        for kind, *columns in (
+            (0, pairs[:, 0], pairs[:, 1], *[np.zeros(len(pairs), t) for t in (np.int64, np.int32, np.int32, np.int32)]),
+            (1, lead["node"][more], *[rows[c][more] for c in ("node", "token", "part", "size", "place")]),
         ):
-            for k in range(0, len(a), 100_000):
-                part = [x[k : k + 100_000] for x in (a, b, token, size, place)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part[0]), kind, np.int32)), *map(pa.array, part)], names=["kind", "a", "b", "token", "size", "place"])
+            for k in range(0, len(columns[0]), 100_000):
+                own = [x[k : k + 100_000] for x in columns]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own[0]), kind, np.int32)), *map(pa.array, own)], names=["kind", "a", "b", "token", "part", "size", "place"])
 
     return walk
 
@@ -276,22 +276,22 @@ def jaccard_join(
     frequent = spark.sparkContext.broadcast(_frequent(scanned))
     entries = texts.where("id is not null").mapInArrow(_prefixes(width, percent, frequent), "token long, part int, node long, size int, place int")
     lists = entries.repartition("token", "part").sortWithinPartitions("token", "part")
-    walked = kept(lists.mapInArrow(_lists(percent, block), "kind int, a long, b long, token long, size int, place int"), "lists")
+    walked = kept(lists.mapInArrow(_lists(percent, block), "kind int, a long, b long, token long, part int, size int, place int"), "lists")
     sweep(spark)
     questions = walked.where("kind = 0").select("a", "b").distinct()
     answers = [_answers(questions, nodes, texts, width, percent)]
-    entries = walked.where("kind = 1").select("token", F.col("a").alias("lead"), F.col("b").alias("node"), "size", "place")
+    entries = walked.where("kind = 1").select("token", "part", F.col("a").alias("lead"), F.col("b").alias("node"), "size", "place")
     linked = answers[0].where("linked").select("a", "b")
     labels = components(linked)
     for turn in [*range(lead_rounds), None]:
         if entries.isEmpty():
             break
-        open_ = _open(entries, labels)
-        rest = kept(_rest(open_, answers, percent, turn), "rest")
+        open_, parts = _open(entries, labels)
+        rest = kept(_rest(open_, parts, answers, percent, turn), "rest")
         if rest.isEmpty():
             # New leads may bring nothing untold though lists are open: only the round of all pairs settles these.
             discard(rest)
-            if open_.isEmpty():
+            if parts.isEmpty():
                 break
             continue
         answers.append(_answers(rest, nodes, texts, width, percent))
@@ -326,34 +326,41 @@ def _frequent(scanned: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return rows.token.to_numpy(np.int64).view(np.uint64)[order], rows.hits.to_numpy(np.int64)[order]
 
 
-def _open(entries: DataFrame, labels: DataFrame) -> DataFrame:
-    """Entries of lists that still hold more than one component, with their component."""
+def _open(entries: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Entries of lists that still hold more than one component, with their component, and the parts (token, part) of these lists."""
     named = entries.join(labels.select(F.col("v").alias("node"), "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed = named.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("token")
-    return named.join(mixed, "token")
+    own = named.groupBy("token", "part").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    mixed = own.groupBy("token").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high").select("token")
+    parts = own.select("token", "part").join(mixed, "token")
+    return named.join(parts, ["token", "part"]), parts
 
 
-def _rest(open_: DataFrame, answers: list[DataFrame], percent: int, turn: int | None) -> DataFrame:
-    """The next questions: of a new lead in each open list, or (turn None) of all pairs of different components left."""
+def _rest(open_: DataFrame, parts: DataFrame, answers: list[DataFrame], percent: int, turn: int | None) -> DataFrame:
+    """The next questions: of a new lead in each open list, or (turn None) of all pairs of different components left.
+
+    A lead goes to each part of its list, and of pairs each part meets each other part: no join holds a split list whole.
+    """
     told = answers[0]
     for more in answers[1:]:
         told = told.union(more)
     distance = told.select(F.col("a").alias("lead"), F.col("b").alias("node"), "far")
     known = open_.join(distance, ["lead", "node"], "left").withColumn("far", F.when(F.col("lead") == F.col("node"), 0.0).otherwise(F.col("far")))
-    x = known.select("token", "label", "lead", "node", "size", "place", "far")
+    x = known.select("token", "part", "label", "lead", "node", "size", "place", "far")
+    names = ("label", "lead", "node", "size", "place", "far")
     if turn is not None:
         # First the most central set: what is its own comes first in the token order, so it meets the list earliest.
         key = F.struct(F.lit(0.0) if turn else F.col("place") / F.col("size"), F.xxhash64("node", F.lit(turn)))
-        first = x.groupBy("token").agg(F.min(F.struct(key.alias("k"), "label", "lead", "node", "size", "place", "far")).alias("f"))
-        left = first.select("token", *[F.col(f"f.{c}").alias(f"{c}_l") for c in ("label", "lead", "node", "size", "place", "far")])
+        first = x.groupBy("token").agg(F.min(F.struct(key.alias("k"), *names)).alias("f"))
+        left = first.select("token", *[F.col(f"f.{c}").alias(f"{c}_l") for c in names]).join(parts, "token")
+        met = left.join(x, ["token", "part"])
     else:
-        left = x.select("token", *[F.col(c).alias(f"{c}_l") for c in ("label", "lead", "node", "size", "place", "far")])
+        both = parts.withColumnRenamed("part", "part_l").join(parts, "token").where("part_l <= part")
+        left = x.select("token", F.col("part").alias("part_l"), *[F.col(c).alias(f"{c}_l") for c in names]).join(both, ["token", "part_l"])
+        met = left.join(x.join(both, ["token", "part"]), ["token", "part_l", "part"]).where("part_l < part or node_l < node")
     most = F.least(F.col("size_l") - F.col("place_l"), F.col("size") - F.col("place"))
     room = (100 + percent) * most >= percent * (F.col("size_l") + F.col("size"))
     apart = (F.col("lead_l") == F.col("lead")) & F.coalesce(F.abs(F.col("far_l") - F.col("far")) > (100 - percent) / 100 + 1e-9, F.lit(False))
-    pairs = left.join(x, "token").where(F.col("label_l") != F.col("label")).where(room & ~apart)
-    if turn is None:
-        pairs = pairs.where("node_l < node")
+    pairs = met.where(F.col("label_l") != F.col("label")).where(room & ~apart)
     pairs = pairs.select(F.least("node_l", "node").alias("a"), F.greatest("node_l", "node").alias("b")).distinct()
     return pairs.join(told.select("a", "b"), ["a", "b"], "left_anti")
 

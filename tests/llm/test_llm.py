@@ -328,8 +328,9 @@ def test_jaccard_against_brute_force(spark):
     assert op6.jaccard_join(docs(spark, [])).count() == 0
 
 
-def test_jaccard_links_within_split_lists(spark, monkeypatch):
-    monkeypatch.setattr(op6, "PART", 60)
+@pytest.mark.parametrize("lead_rounds", [2, 0])  # without new leads, the parts of a list meet each other pair by pair
+def test_jaccard_links_within_split_lists(spark, monkeypatch, lead_rounds):
+    monkeypatch.setattr(op6, "PART", 60 if lead_rounds else 7)
     texts, want = [], {}
     for p in range(6):
         passage = " ".join(f"p{p}_{k}" for k in range(60))
@@ -337,7 +338,7 @@ def test_jaccard_links_within_split_lists(spark, monkeypatch):
             i = 100 * p + k
             texts.append((i, passage + "".join(f" u{i}_{j}" for j in range(3 if k < 2 else 200))))
             want[i] = 100 * p if k < 2 else i
-    got = op6.jaccard_join(docs(spark, texts)).collect()
+    got = op6.jaccard_join(docs(spark, texts), lead_rounds=lead_rounds).collect()
     assert {r.doc_id: r.component_id for r in got} == want
 
 
