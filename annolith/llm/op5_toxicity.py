@@ -72,7 +72,7 @@ class ToxicityModel:
 
 def nnpu(
     p: tuple[np.ndarray, np.ndarray, np.ndarray],
-    u: tuple[np.ndarray, np.ndarray],
+    u: list[tuple[np.ndarray, np.ndarray]],
     prior: float,
     theta: np.ndarray,
     *,
@@ -82,8 +82,9 @@ def nnpu(
 ) -> np.ndarray:
     """``theta`` (weights, bias) after steps of Adam on max(0, R_u(-) - prior R_p(-)) + prior R_p(+) of a logistic regression.
 
-    ``p`` is (starts of rows, columns, times) of confirmed texts, ``u`` (starts, columns) of unlabelled ones. Where the
-    corrected risk of negatives falls below nought, the step goes up that part's gradient only, as Kiryo et al. prescribe.
+    ``p`` is (starts of rows, columns, times) of confirmed texts, ``u`` (starts, columns) of each batch of unlabelled ones, which
+    take turns. Where the corrected risk of negatives falls below nought, the step goes up that part's gradient only, as Kiryo
+    et al. prescribe; elsewhere the confirmed texts' two gradients add up to a constant.
     """
     width = len(theta) - 1
 
@@ -94,16 +95,19 @@ def nnpu(
     def gradient(x, per_row):
         return np.append(np.bincount(x[1], np.repeat(per_row, np.diff(x[0])), width), per_row.sum())
 
-    share_p, n_u = p[2] / p[2].sum(), len(u[0]) - 1
+    share_p = p[2] / p[2].sum()
+    upwards = -gradient(p, prior * share_p)
     theta = theta.copy()
     first, second = np.zeros(width + 1), np.zeros(width + 1)
     for step in range(1, steps + 1):
         w, b = theta[:-1], theta[-1]
+        own = u[step % len(u)]
+        n_u = len(own[0]) - 1
         sp = 1 / (1 + np.exp(-np.clip(margins(p, w, b), -500, 500)))
-        su = 1 / (1 + np.exp(-np.clip(margins(u, w, b), -500, 500)))
+        su = 1 / (1 + np.exp(-np.clip(margins(own, w, b), -500, 500)))
         negative = -np.log1p(-su * (1 - 1e-12)).mean() + prior * (share_p * np.log1p(-sp * (1 - 1e-12))).sum()
-        g = gradient(u, su / n_u) - gradient(p, prior * share_p * sp)
-        g = g + gradient(p, prior * share_p * (sp - 1)) if negative >= 0 else -g
+        g = gradient(own, su / n_u)
+        g = g + upwards if negative >= 0 else gradient(p, prior * share_p * sp) - g
         g[:-1] += decay * w
         first += 0.1 * (g - first)
         second += 0.001 * (g * g - second)
@@ -128,13 +132,14 @@ def fit_toxicity(
     rounds: int = 4,
     steps: int = 75,
     part_rows: int = 50_000,
+    batch_rows: int = 8_192,
 ) -> ToxicityModel:
     """Learn from labels and texts whose fold is not the held-out one.
 
     The confirmed side is at most about ``max_positive`` texts, picked by a hash (a bounded sample of labelled rows); equal
     rows of an id are one of as many times' weight. The unlabelled side is every text: their features are kept as a table,
-    and in each of ``rounds`` every task takes ``steps`` steps over all confirmed texts and at least ``part_rows`` unlabelled ones of
-    its own, after which the tasks' weights are averaged by their rows. The prior is counted over all labels. Features are
+    and in each of ``rounds`` every task takes ``steps`` steps over all confirmed texts and its own unlabelled ones (``part_rows`` at
+    least), dealt to batches of about ``batch_rows`` or more that take turns; then the tasks' weights are averaged by their rows. The prior is counted over all labels. Features are
     all buckets whose log-likelihood gain for confirmed texts, from document frequencies over all texts, reaches
     ``least_gain``; the number of buckets bounds what the driver holds. Null labels and ids are passed over; of repeated
     labels of an id the largest counts. Without a confirmed toxic text, or without any other, every text scores the prior
@@ -224,7 +229,8 @@ def fit_toxicity(
             rows = 0
 
             def step() -> pa.RecordBatch:
-                u = _rows([h[0] for h in held], [h[1] for h in held])
+                n_batches = max(1, min(rows // batch_rows, steps, len(held)))
+                u = [_rows(*map(list, zip(*held[k::n_batches]))) for k in range(n_batches)]
                 out = nnpu(sure.value, u, prior, start.value, steps=steps, rate=0.05 / 2**turn)
                 return pa.RecordBatch.from_arrays([pa.array([(out * rows).tobytes()], pa.binary()), pa.array([rows], pa.int64())], names=["theta", "n"])
 
