@@ -25,6 +25,7 @@ from annolith.llm import op10_secrets as op10
 from annolith.llm import registry
 
 SF = "/root/testdata/sf0.001"
+LOWERED = {c: c + 32 for c in range(65, 91)}
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, id string, token string, length int, part int"
 
 
@@ -84,19 +85,9 @@ def distance_in(item, text):
     return min(row)
 
 
-def test_decontamination_against_brute_force(spark):
-    rng = np.random.default_rng(12)
-    words = np.array(["river", "stone", "a", "lamp", "under", "of", "bright", "seven", "it", "cold"])
-    items = [" ".join(rng.choice(words, n)) for n in (5, 6, 9, 14, 14, 20, 2, 1)] + ["it a of it a", None, "", "..."]
-    texts = [None, "", "river", "cold LAMP!"]
-    for k in range(60):
-        own = " ".join(rng.choice(words, 12))
-        item = list(items[k % 9])
-        for _ in range(rng.integers(0, 6)):
-            place = rng.integers(0, len(item))
-            item[place : place + 1] = rng.choice(list("xyz"), rng.integers(0, 3)).tolist()
-        texts.append(f"{own}, {''.join(item)}; {own[:30]}" if k % 3 else "".join(item))
-    want = set()
+def items_held(texts, items):
+    """(text, item, distance) of every item that a text holds, each pair compared."""
+    found = set()
     for i, t in enumerate(texts):
         for j, item in enumerate(items):
             a, b = op1.normal(item), op1.normal(t)
@@ -110,7 +101,23 @@ def test_decontamination_against_brute_force(spark):
             else:
                 d = distance_in(a, b)
             if d <= budget:
-                want.add((i, j, d))
+                found.add((i, j, d))
+    return found
+
+
+def test_decontamination_against_brute_force(spark):
+    rng = np.random.default_rng(12)
+    words = np.array(["river", "stone", "a", "lamp", "under", "of", "bright", "seven", "it", "cold"])
+    items = [" ".join(rng.choice(words, n)) for n in (5, 6, 9, 14, 14, 20, 2, 1)] + ["it a of it a", None, "", "..."]
+    texts = [None, "", "river", "cold LAMP!"]
+    for k in range(60):
+        own = " ".join(rng.choice(words, 12))
+        item = list(items[k % 9])
+        for _ in range(rng.integers(0, 6)):
+            place = rng.integers(0, len(item))
+            item[place : place + 1] = rng.choice(list("xyz"), rng.integers(0, 3)).tolist()
+        texts.append(f"{own}, {''.join(item)}; {own[:30]}" if k % 3 else "".join(item))
+    want = items_held(texts, items)
     d, bench = docs(spark, enumerate(texts)), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
     for block in (4_000_000, 50):
         assert {(r.doc_id, r.item_id, r.distance) for r in op1.decontaminate(d, bench, block_chars=block).collect()} == want
@@ -244,21 +251,16 @@ def test_best_two_fit_plans():
     assert set(sequence) == set(range(plan.sequences)) and plan.sequences <= -(-length.sum() // 2048) + 3
 
 
-def test_packing_of_a_corpus_against_the_tokenizer(spark):
-    from tokenizers import Tokenizer
+def pieces_of(whole, text):
+    """(piece, start, length, ids_crc32) of a text by the public tokenizer alone."""
+    ids = [*whole.encode(text or "", add_special_tokens=False).ids, 0]
+    return [(k // 2048, k, len(ids[k : k + 2048]), zlib.crc32(np.array(ids[k : k + 2048], "<u4").tobytes())) for k in range(0, len(ids), 2048)]
 
-    whole = Tokenizer.from_file(op4.default_tokenizer())
-    table = spark.read.parquet(f"{SF}/documents.parquet")
-    want = {}
-    for r in table.collect():
-        ids = [*whole.encode(r.text or "", add_special_tokens=False).ids, 0]
-        for k in range(0, len(ids), 2048):
-            part = ids[k : k + 2048]
-            want[r.doc_id, k // 2048] = (k, len(part), zlib.crc32(np.array(part, "<u4").tobytes()))
-    got = op4.pack(table).collect()
-    assert {(r.doc_id, r.piece): (r.start, r.length, r.ids_crc32) for r in got} == want and len(got) == len(want)
+
+def sequences_without_gaps(rows):
+    """The number of sequences, after a look at each one's places."""
     bins = {}
-    for r in got:
+    for r in rows:
         bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
     for own in bins.values():
         reach = 0
@@ -266,7 +268,18 @@ def test_packing_of_a_corpus_against_the_tokenizer(spark):
             assert offset == reach
             reach += length
         assert reach <= 2048
-    assert len(bins) <= -(-sum(w[1] for w in want.values()) // 2048) + 2
+    return len(bins)
+
+
+def test_packing_of_a_corpus_against_the_tokenizer(spark):
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(op4.default_tokenizer())
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    want = sorted((r.doc_id, *p) for r in table.collect() for p in pieces_of(whole, r.text))
+    got = op4.pack(table).collect()
+    assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == want
+    assert sequences_without_gaps(got) <= -(-sum(w[3] for w in want) // 2048) + 2
 
 
 def test_packing_loses_nothing(spark):
@@ -293,35 +306,88 @@ def test_toxicity(spark):
     assert op5.score_toxicity(d, op5.fit_toxicity(d, labels.limit(0))).count() == 903
 
 
-def test_jaccard_against_brute_force(spark):
-    rng = np.random.default_rng(4)
-    base = [rng.choice([f"v{k}" for k in range(4000)], 120).tolist() for _ in range(6)]
-    texts = list(HARD)
-    for k in range(150):
-        words = list(base[rng.integers(0, 6)])
-        for _ in range(rng.integers(0, 9)):
-            words[rng.integers(0, 120)] = f"n{k}_{rng.integers(0, 99)}"
-        texts.append((100 + k, " ".join(words)))
-    got = op6.jaccard_join(docs(spark, texts)).toPandas()
+def plain_toxicity(rows, labels):
+    """The score of each (id, text) by dense nnPU as published, over words and word beginnings as they stand, all in one place."""
+
+    def parts(text):
+        words = [w.lower().encode() for w in re.findall("[A-Za-z\x80-\U0010ffff]+", text or "")]
+        return {(n, w[:n] if n else w) for w in words for n in (0, 5, 6, 7) if len(w) >= n}
+
+    learnt = [(i, parts(t)) for i, t in rows if i is not None and zlib.crc32(str(i).encode()) % 5 != 0]
+    known = {i: y for i, y in labels if i is not None and zlib.crc32(str(i).encode()) % 5 != 0}
+    prior = sum(known.values()) / len(known)
+    confirmed = [f for i, f in learnt if known.get(i) == 1]
+    in_p, in_u = Counter(x for f in confirmed for x in f), Counter(x for _, f in learnt for x in f)
+    gain = lambda x: in_p[x] * math.log((in_p[x] + 0.5) / (len(confirmed) + 1) / ((in_u[x] + 0.5) / (len(learnt) + 1)))
+    chosen = sorted(x for x in in_u if gain(x) >= 10)
+    dense = lambda sets: np.array([[x in f for x in chosen] + [True] for f in sets], float)
+    p, u = dense(confirmed), dense([f for _, f in learnt])
+    theta = np.append(np.zeros(len(chosen)), math.log(prior / (1 - prior)))
+    sigmoid = lambda z: 1 / (1 + np.exp(-z))
+    for turn in range(4):
+        first, second = 0 * theta, 0 * theta
+        for step in range(1, 76):
+            negative = np.log1p(np.exp(u @ theta)).mean() - prior * np.log1p(np.exp(p @ theta)).mean()
+            g_negative = u.T @ sigmoid(u @ theta) / len(u) - prior * p.T @ sigmoid(p @ theta) / len(p)
+            g = g_negative - prior * p.T @ sigmoid(-p @ theta) / len(p) if negative >= 0 else -g_negative
+            g[:-1] += 3e-4 * theta[:-1]
+            first, second = 0.9 * first + 0.1 * g, 0.999 * second + 0.001 * g * g
+            theta = theta - 0.05 / 2**turn * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+    return sigmoid(dense([parts(t) for _, t in rows]) @ theta)
+
+
+def test_toxicity_against_a_dense_run(spark):
+    rng = np.random.default_rng(8)
+    words = np.array([f"wo{a}{b}" for a in "abcdefgh" for b in "ijklmnop"])
+    toxic = rng.random(500) < 0.25
+    texts = [(i, " ".join([*rng.choice(words, 30), *(rng.choice(["Vilething,", "scumlike.", "ßfoul"], 2) if t else [])])) for i, t in enumerate(toxic)]
+    rows = [*texts, (600, None), (601, ""), (None, "vilething scumlike")]
+    labels = [(i, int(t)) for i, t in enumerate(toxic) if i % 3]
+    model = op5.fit_toxicity(docs(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    got = {r.doc_id: r.score for r in op5.score_toxicity(docs(spark, rows), model).collect()}
+    want = plain_toxicity(rows, labels)
+    assert max(abs(got[i] - w) for (i, _), w in zip(rows, want)) < 1e-6 and np.ptp(want) > 0.5
+
+
+def components(texts):
+    """A number for each text, the same for all that links join, every pair compared."""
 
     def shingles(t):
-        w = (t or "").lower().split()
+        w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOWERED))
         return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) > 4 else ({tuple(w)} if w else set())
 
-    known = [(i, shingles(t)) for i, t in texts if i is not None]
-    parent = {i: i for i, _ in known}
+    sets = [shingles(t) for t in texts]
+    parent = list(range(len(texts)))
 
     def root(i):
         while parent[i] != i:
             i = parent[i]
         return i
 
-    for k, (i, a) in enumerate(known):
-        for j, b in known[:k]:
+    for k, a in enumerate(sets):
+        for j, b in enumerate(sets[:k]):
             if a and b and 100 * len(a & b) >= 80 * len(a | b):
-                low, high = sorted((root(i), root(j)))
-                parent[high] = low
-    want = {i: root(i) for i in parent}
+                parent[root(k)] = root(j)
+    return [root(i) for i in parent]
+
+
+def test_jaccard_against_brute_force(spark):
+    rng = np.random.default_rng(4)
+    base = [rng.choice([f"v{k}" for k in range(4000)], 120).tolist() for _ in range(6)]
+    texts = list(HARD)
+    for k in range(150):
+        words = list(base[rng.integers(0, 6)])
+        for _ in range(rng.integers(0, 9)):
+            words[rng.integers(0, 120)] = f"n{k}_{rng.integers(0, 99)}"
+        texts.append((100 + k, " ".join(words)))
+    got = op6.jaccard_join(docs(spark, texts)).toPandas()
+
+    known = [(i, t) for i, t in texts if i is not None]
+    roots = components([t for _, t in known])
+    smallest = {}
+    for (i, _), c in zip(known, roots):
+        smallest[c] = min(i, smallest.get(c, i))
+    want = {i: min(smallest[c] for (j, _), c in zip(known, roots) if j == i) for i, _ in known}
     for r in got[got.doc_id.notna()].itertuples():
         assert r.component_id == want[r.doc_id]
     assert len(got) == len(texts) and got[got.doc_id == 5].n_shingles.iloc[0] == 29_996
@@ -445,9 +511,8 @@ def test_secrets(spark):
     assert op10.scan_secrets(docs(spark, []), forest).count() == 0
 
 
-def test_secrets_against_a_plain_run(spark):
-    forest = op10.train(op10.labelled_findings(600), trees=9)
-    rows = spark.read.parquet(f"{SF}/documents.parquet").union(spark.createDataFrame([(None, "key=" + "aB3x/" * 4000, None, None, None), (-1, None, None, None, None)], "doc_id long, text string, lang string, source string, n_chars int"))
+def plain_findings(forest, text, path):
+    """(start, end) of the candidates that most trees take for secrets, one tree and one candidate at a time."""
 
     def votes(x):
         total = 0
@@ -458,11 +523,13 @@ def test_secrets_against_a_plain_run(spark):
             total += share[at]
         return total / len(forest.trees)
 
-    want = []
-    for r in rows.collect():
-        for a, b in op10.candidates(r.text or ""):
-            if votes(op10.describe(r.text, a, b, r.source)) >= 0.5:
-                want.append((r.doc_id, a, b - a))
+    return [(a, b) for a, b in op10.candidates(text or "") if votes(op10.describe(text, a, b, path)) >= 0.5]
+
+
+def test_secrets_against_a_plain_run(spark):
+    forest = op10.train(op10.labelled_findings(600), trees=9)
+    rows = spark.read.parquet(f"{SF}/documents.parquet").union(spark.createDataFrame([(None, "key=" + "aB3x/" * 4000, None, None, None), (-1, None, None, None, None)], "doc_id long, text string, lang string, source string, n_chars int"))
+    want = [(r.doc_id, a, b - a) for r in rows.collect() for a, b in plain_findings(forest, r.text, r.source)]
     got = [(r.doc_id, r.start, r.length) for r in op10.scan_secrets(rows, forest).collect()]
     assert sorted(got, key=str) == sorted(want, key=str) and want
 
@@ -519,3 +586,60 @@ def test_pipeline_stages_judge_rows_not_ids(spark, tmp_path):
     clean = op1.stage_decontamination(spark, mixed, str(tmp_path))
     assert rows(clean) == [(0, one), (4, two), (5, "")] and clean.columns == mixed.columns
     assert rows(op1.without_items(mixed, spark.read.parquet(f"{tmp_path}/benchmark.parquet"), block_chars=1)) == rows(clean)
+
+
+def test_pipeline_against_brute_force(spark, tmp_path):
+    """All five stages over one corpus that has work for each, against plain versions run one after another."""
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline as pipeline
+
+    rng = np.random.default_rng(31)
+    vocabulary = np.array([a + b + c for a in ("ri", "sto", "la", "gre", "mu") for b in ("ver", "ne", "mp", "tal") for c in ("", "s", "ing", "ed", "ly")])
+    items = ["the grey heron waits beside the frozen canal until the baker opens his shutters at dawn", "seven copper kettles hung above the narrow stair where nobody had walked for years", "no", None]
+    rows, labels = [], []
+    for i in range(240):
+        words = rng.choice(vocabulary, 45).tolist()
+        if i % 4 == 0:
+            words[3:3] = ["Vilething", "scumlike"]
+        if i % 3:
+            labels.append((i, int(i % 4 == 0)))
+        if i % 7 == 1:
+            own = list(items[i % 2])
+            for place in rng.integers(0, len(own), i % 9):
+                own[place] = "z"
+            words[20:20] = ["".join(own)]
+        if i % 5 == 2:
+            words[9:9] = [f"AKIA{i:03}DZWJNP6ZRYWK4", "token", "=", '"%040x"' % (i * 2**150 + 12345)]
+        if i % 6 == 3:
+            own = rows[-3][1].split(" ")
+            own[int(rng.integers(0, len(own)))] = "changed"
+            words = own if i % 12 == 3 else [*own, *words[: int(rng.integers(5, 20))]]
+        rows.append((i, " ".join(words)))
+    rows += [(None, rows[5][1]), (None, "calm words without an id"), (300, None), (301, ""), (302, "No!"), (303, " ".join(rng.choice(vocabulary, 3000)))]
+    spark.createDataFrame([(i, t, "en", "src1", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars int").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    left = [r for r, score in zip(rows, plain_toxicity(rows, labels)) if score < 0.5]
+    sizes = [len(rows), len(left)]
+    first = {}
+    for r, c in zip(left, components([t for _, t in left])):
+        first[c] = min(first.get(c, r), r, key=lambda r: (r[0] is None, r[0]))
+    left = list(first.values())
+    sizes.append(len(left))
+    hit = {i for i, _, _ in items_held([t for _, t in left], items)}
+    left = [r for k, r in enumerate(left) if k not in hit]
+    sizes.append(len(left))
+    forest = op10.train(op10.labelled_findings())
+    clean = []
+    for i, t in left:
+        for a, b in reversed(plain_findings(forest, t, "src1")):
+            t = f"{t[:a]}[SECRET]{t[b:]}"
+        clean.append((i, t))
+    assert sizes == sorted(sizes, reverse=True) and len({*sizes}) == 4 and clean != left
+    whole = Tokenizer.from_file(op4.default_tokenizer())
+    want = [(i, *p) for i, t in clean for p in pieces_of(whole, t)]
+    got = pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted(((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got), key=str) == sorted(want, key=str)
+    assert sequences_without_gaps(got) <= -(-sum(w[3] for w in want) // 2048) + 1
