@@ -244,7 +244,8 @@ def _train(shared, rate: float):
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        model.weights = tuple(w.copy() for w in model.weights)
+        # Copied to numpy's own float32: an array that was unpickled has a dtype object of its own, with which add.at is many times slower.
+        model.weights = tuple(w.astype(np.float32) for w in model.weights)
         seen = tuple(np.ones(len(w), np.float32) for w in model.weights)
         for batch in batches:
             items, first = _blob(batch.column("items"))

@@ -2,9 +2,11 @@
 
 import hashlib
 import math
+import pickle
 import re
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import duckdb
 import numpy as np
@@ -217,6 +219,25 @@ def test_maxent_trains_in_several_tasks(spark, monkeypatch):
     assert held.score.sum() > held.base_score.sum()
 
 
+def test_maxent_trainer_has_numpy_s_own_float32_after_a_broadcast(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, " ".join(f"w{(i * k) % 37}" for k in range(1, 60))) for i in range(60)], "row long, text string")
+    model, _ = op3.start_model(rows)
+    words = op3.Tokens(pa.array([r.text for r in rows.orderBy("row").collect()]))
+    items, _ = model.places(words)
+    batch = pa.RecordBatch.from_arrays([pa.array([items[a:b].tobytes() for a, b in zip(words.first[:-1], words.first[1:])], pa.binary())], names=["items"])
+    walk, held = op3.MaxentModel.walk, []
+
+    def noted(self, items, features, seen=None, rate=0.0):
+        held.extend([*self.weights, *seen])
+        return walk(self, items, features, seen, rate)
+
+    monkeypatch.setattr(op3.MaxentModel, "walk", noted)
+    sent = pickle.loads(pickle.dumps(model))
+    got = [b.to_pylist() for b in op3._train(SimpleNamespace(value=sent), 0.3)([batch])]
+    assert len(held) == 4 and all(w.dtype is np.dtype(np.float32) for w in held)  # any other instance takes add.at's slow path
+    assert got == [b.to_pylist() for b in op3._train(SimpleNamespace(value=model), 0.3)([batch])] and got
+
+
 def test_places_are_those_of_a_search():
     rng = np.random.default_rng(8)
     known = np.unique(rng.integers(0, 1 << 63, 5000, dtype=np.uint64) * np.uint64(2))
